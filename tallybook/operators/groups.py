@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.hashing import hash_bucket, split_by_bucket
+from tallybook.functions.hashing import as_key, hash_bucket, split_by_bucket
 from tallybook.functions.joins import join_null_safe
 from tallybook.functions.ordering import first_n, running_total
 from tallybook.functions.storage import checkpoint
@@ -37,7 +37,7 @@ def entity_hierarchy(
     task has to hold it whole; the rows of a parent together hold every member
     once.
     """
-    key = F.to_json(F.struct(child, *member))
+    key = as_key(child, *member)
     paged = _paged(df.select(parent, child, *member), [parent], key, page)
     per_child = paged.groupBy(parent, "page", child).agg(
         F.array_sort(F.collect_list(F.struct(*member))).alias("members")
