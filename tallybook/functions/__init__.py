@@ -1,5 +1,5 @@
 from tallybook.functions.hashing import as_key, hash_bucket, split_by_bucket, uniform_key
-from tallybook.functions.joins import join_null_safe
+from tallybook.functions.joins import join_null_safe, join_summary
 from tallybook.functions.ordering import first_n, running_total, with_runs
 from tallybook.functions.paths import PATH_RULES, PathRule, base_name, directory, extension, parse_path
 from tallybook.functions.storage import checkpoint, scratch_path
@@ -15,6 +15,7 @@ __all__ = [
     "first_n",
     "hash_bucket",
     "join_null_safe",
+    "join_summary",
     "parse_path",
     "running_total",
     "scratch_path",

@@ -1,4 +1,4 @@
-"""Joins on group columns that may hold nulls."""
+"""Joins that keep to measured sizes and hold on hot keys."""
 
 from __future__ import annotations
 
@@ -6,20 +6,42 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tallybook.functions.storage import checkpoint
 
-def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` in which null matches null; keys come from the left.
+# A summary is sent to all executors only if it is counted and found this small.
+BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 
-    Catalyst still plans an equi-join for ``<=>``, so broadcast by measured size
-    and skew splitting both stay available.
-    """
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which null matches null; keys come from the left."""
     if how not in ("inner", "left", "left_anti", "left_semi"):
         raise ValueError(f"unsupported join type: {how}")
     marked = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    condition = reduce(
-        lambda a, b: a & b,
-        [left[k].eqNullSafe(marked[f"_right_{k}"]) for k in keys],
-    )
+    condition = reduce(lambda a, b: a & b, [left[k].eqNullSafe(marked[f"_right_{k}"]) for k in keys])
     joined = left.join(marked, condition, how)
     return joined.drop(*[f"_right_{k}" for k in keys])
+
+
+def _is_small(df: DataFrame) -> bool:
+    if df.count() > BROADCAST_ROWS:
+        return False
+    size = df.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0]
+    return (size or 0) <= BROADCAST_BYTES
+
+
+def join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Joins ``rows``, many to a key, with ``summary``, one to a key; null matches null.
+
+    The summary is written first. Found small, it is broadcast and the rows are
+    not shuffled at all. Otherwise both sides are shuffled; as a table of its own
+    the summary then has an exchange right below the join, and only in that
+    shape does AQE split the partition of a hot key. A summary still being
+    aggregated in the stage of the join would rule that out.
+    """
+    summary = checkpoint(summary)
+    if _is_small(summary):
+        summary = F.broadcast(summary)
+    return join_null_safe(rows, summary, keys, how)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybook.functions.joins import join_null_safe
+from tallybook.functions.joins import join_summary
 
 # Ordinals are worked on in blocks of this many neighbours: a task holds one
 # block, and a group of 10^12 ordinals has a million blocks.
@@ -38,50 +38,38 @@ def missing_ordinals(
     """Ordinals not present between the lowest and highest of each group.
 
     ``bounds`` (group columns, ``lo``, ``hi``) sets other limits. The wanted
-    range is cut into blocks; within a block each ordinal is compared with its
-    neighbour, so only ordinals that are missing are ever made.
+    range is cut into blocks, each fenced by the ordinals just outside it, and
+    every ordinal is compared with the next one in its block: only ordinals that
+    are missing are ever made, and an empty block is one gap between its fences.
     """
     present = _present(df, group, ordinal)
     if bounds is None:
         value = F.col(ordinal).cast("bigint")
         bounds = df.groupBy(*group).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    blocks = (
-        bounds.select(
-            *group,
-            "lo",
-            "hi",
-            F.explode(
-                F.sequence(_block("lo", block), _block("hi", block), F.lit(block).cast("bigint"))
-            ).alias("_block"),
-        )
+    step = F.lit(block).cast("bigint")
+    fences = (
+        bounds.select(*group, "lo", "hi", F.explode(F.sequence(_block("lo", block), _block("hi", block), step)).alias("_block"))
         .withColumn("_from", F.greatest("lo", "_block"))
         .withColumn("_to", F.least("hi", F.col("_block") + (block - 1)))
-        .drop("lo", "hi")
-    )
-    keyed = present.withColumn("_block", _block(ordinal, block))
-    in_block = join_null_safe(blocks, keyed, [*group, "_block"], "left")
-    # Ordinals outside the limits stay out of the comparison; a block left with
-    # none keeps one row, whose ordinal is null, and is missing as a whole.
-    held = F.when(F.col(ordinal).between(F.col("_from"), F.col("_to")), F.col(ordinal))
-    along = Window.partitionBy(*group, "_block").orderBy(F.col("_held").asc_nulls_first())
-    gaps = (
-        in_block.withColumn("_held", held)
-        .withColumn("_before", F.coalesce(F.lag("_held").over(along), F.col("_from") - 1))
-        .withColumn("_is_last", F.lead(F.lit(True)).over(along).isNull())
         .select(
             *group,
-            F.array(
-                F.struct((F.col("_before") + 1).alias("a"), (F.col("_held") - 1).alias("b")),
-                F.struct(
-                    F.when(F.col("_is_last"), F.coalesce("_held", F.col("_from") - 1) + 1).alias("a"),
-                    F.col("_to").alias("b"),
-                ),
-            ).alias("_gaps"),
+            "_block",
+            "_from",
+            "_to",
+            F.explode(F.array(F.col("_from") - 1, F.col("_to") + 1)).alias(ordinal),
         )
-        .select(*group, F.explode("_gaps").alias("_gap"))
-        .filter(F.col("_gap.a") <= F.col("_gap.b"))
     )
-    return gaps.select(*group, F.explode(F.sequence("_gap.a", "_gap.b")).alias(ordinal))
+    in_block = Window.partitionBy(*group, "_block")
+    gaps = (
+        present.withColumn("_block", _block(ordinal, block))
+        .unionByName(fences, allowMissingColumns=True)
+        .withColumn("_next", F.lead(ordinal).over(in_block.orderBy(ordinal)))
+        # Rows beyond explicit limits share a block with wanted ones, or have no fences.
+        .withColumn("_a", F.greatest(F.col(ordinal) + 1, F.max("_from").over(in_block)))
+        .withColumn("_b", F.least(F.col("_next") - 1, F.max("_to").over(in_block)))
+        .filter(F.col("_next").isNotNull() & (F.col("_a") <= F.col("_b")))
+    )
+    return gaps.select(*group, F.explode(F.sequence("_a", "_b")).alias(ordinal))
 
 
 def ordinal_islands(df: DataFrame, group: Sequence[str], ordinal: str, block: int = BLOCK) -> DataFrame:
@@ -160,7 +148,7 @@ def size_cap_audit(
     last_big = df.groupBy(*group).agg(F.max(F.when(big, F.col(ordinal))).alias("last_big_ordinal"))
     up_to = F.coalesce(F.col(ordinal) <= F.col("last_big_ordinal"), F.lit(False))
     return (
-        join_null_safe(df.select(*group, ordinal, size), last_big, group)
+        join_summary(df.select(*group, ordinal, size), last_big, group)
         .groupBy(*group)
         .agg(
             F.max("last_big_ordinal").alias("last_big_ordinal"),

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.hashing import as_key, hash_bucket, split_by_bucket
-from tallybook.functions.joins import join_null_safe
+from tallybook.functions.joins import join_summary
 from tallybook.functions.ordering import first_n, running_total
 from tallybook.functions.storage import checkpoint
 
@@ -21,10 +21,19 @@ PAGE = 10_000
 
 
 def _paged(df: DataFrame, entity: Sequence[str], member: Column, page: int) -> DataFrame:
-    """Adds ``page``: 0, or a hash bucket of the member where the entity is too big for one row."""
-    counts = df.groupBy(*entity).agg(F.ceil(F.count(F.lit(1)) / F.lit(page)).cast("int").alias("_pages"))
-    bucket = F.when(F.col("_pages") == 1, 0).otherwise(F.pmod(hash_bucket(member, 1 << 30), F.col("_pages")))
-    return join_null_safe(df, counts, entity).withColumn("page", bucket.cast("int")).drop("_pages")
+    """Adds ``page``: 0, or a hash bucket of the member where the entity is too big for one row.
+
+    Only entities of more than ``page`` rows are looked up: at most one for each
+    ``page`` rows of the table, mostly none.
+    """
+    pages = F.ceil(F.count(F.lit(1)) / F.lit(page)).cast("int")
+    large = df.groupBy(*entity).agg(pages.alias("_pages")).filter(F.col("_pages") > 1)
+    bucket = F.pmod(hash_bucket(member, 1 << 30), F.col("_pages"))
+    return (
+        join_summary(df, large, entity, "left")
+        .withColumn("page", F.coalesce(bucket, F.lit(0)).cast("int"))
+        .drop("_pages")
+    )
 
 
 def entity_hierarchy(
@@ -62,36 +71,34 @@ def shared_children(df: DataFrame, parent: str, child: Sequence[str]) -> DataFra
     )
 
 
+def _least(edges: DataFrame, node: str, other: str) -> DataFrame:
+    return edges.groupBy(node).agg(F.min(other).alias("_least"), F.count(F.lit(1)).alias("_n"))
+
+
 def _links(df: DataFrame, member: str, via: str) -> DataFrame:
     """Edges (a, b), b < a, from each member to the least member that shares a ``via``.
 
     A star around the least member connects the same members as all their pairs
     would, with one edge for each row of the input.
     """
-    rows = df.select(F.col(member).alias("a"), F.col(via).alias("_via")).filter(
-        F.col("a").isNotNull() & F.col("_via").isNotNull()
-    )
-    least = rows.groupBy("_via").agg(F.min("a").alias("b"))
-    return rows.join(least, "_via").filter(F.col("b") < F.col("a")).select("a", "b").distinct()
+    rows = df.select(F.col(member).alias("a"), F.col(via).alias("_via")).dropna()
+    shared = _least(rows, "_via", "a").filter(F.col("_n") > 1).drop("_n")
+    return join_summary(rows, shared, ["_via"]).filter("_least < a").select("a", F.col("_least").alias("b")).distinct()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Hangs the larger neighbours of each node on its least neighbour."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("_m"))
-    return (
-        both.filter(F.col("b") > F.col("a"))
-        .join(least, "a")
-        .select(F.col("b").alias("a"), F.col("_m").alias("b"))
-        .distinct()
-    )
+def _large_star(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Hangs each node below b on the least neighbour of b; the top of a star stays."""
+    above = least.select(F.col("a").alias("b"), "_least")
+    moved = join_summary(edges, above, ["b"], "left")
+    return moved.select("a", F.coalesce("_least", "b").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Hangs each node and its smaller neighbours on the least of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("_m"))
-    moved = edges.join(least, "a").filter(F.col("b") != F.col("_m")).select(F.col("b").alias("a"), F.col("_m").alias("b"))
-    return moved.unionByName(least.select("a", F.col("_m").alias("b"))).distinct()
+    least = _least(edges, "a", "b").drop("_n")
+    joined = join_summary(edges, least, ["a"])
+    below = joined.filter("b <> _least").select(F.col("b").alias("a"), F.col("_least").alias("b"))
+    return below.unionByName(joined.select("a", F.col("_least").alias("b"))).distinct()
 
 
 def linked_groups(df: DataFrame, member: str, via: str, max_rounds: int = 50) -> DataFrame:
@@ -100,21 +107,22 @@ def linked_groups(df: DataFrame, member: str, via: str, max_rounds: int = 50) ->
     Connected components by alternating large-star and small-star steps
     (Kiveris et al., "Connected Components in MapReduce and Beyond", 2014): a
     logarithmic number of rounds, where passing on the least label would take as
-    many as the longest chain. Each round ends in a reliable checkpoint. The
-    work is done when every node hangs on a node that hangs on none; running out
-    of rounds is an error, never a partial answer.
+    many as the longest chain. Edges are fixed by a reliable checkpoint after
+    each step. The work is done when every node hangs on one node that hangs on
+    none; running out of rounds is an error, never a partial answer.
     """
     edges = checkpoint(_links(df, member, via))
     for _ in range(max_rounds):
-        inner = edges.select("b").join(edges.select(F.col("a").alias("b")), "b", "left_semi").limit(1)
-        repeated = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a").limit(1)
-        if inner.union(repeated).isEmpty():
-            break
-        edges = checkpoint(_small_star(_large_star(edges)))
+        least = checkpoint(_least(edges, "a", "b"))
+        if least.filter("_n > 1").isEmpty():
+            tops = edges.select(F.col("b").alias("a")).distinct()
+            if least.join(tops, "a", "left_semi").isEmpty():
+                break
+        edges = checkpoint(_small_star(checkpoint(_large_star(edges, least))))
     else:
         raise RuntimeError(f"links still moving after {max_rounds} rounds")
 
-    members = df.select(F.col(member).alias("a")).filter(F.col("a").isNotNull()).distinct()
+    members = df.select(F.col(member).alias("a")).dropna().distinct()
     return members.join(edges, "a", "left").select(
         F.col("a").alias(member), F.coalesce("b", "a").alias("component")
     )
@@ -167,15 +175,53 @@ def stratified_split(
 ) -> DataFrame:
     """Adds ``split`` with each class cut at the floor of the cumulative shares.
 
-    Rows go by content hash, so copies of one oid are neighbours. Ranks are
-    taken range by range: a class may hold any part of the table.
+    Rows go by content hash (``order`` must break all ties), so copies of one oid
+    are neighbours. Counts by the first four digits of the hash tell in which of
+    65,536 slices of a class each cut falls. Rows of other slices are placed
+    where they are, without a shuffle; only the slices with a cut are ranked,
+    range by range, as one oid may fill a slice.
     """
-    whole = sum(shares)
-    ranked = running_total(df, [label], [F.col(c) for c in order], total="_rank")
-    upper, split = 0, None
-    for name, share in zip(names, shares):
-        upper += share
-        cut = F.floor(F.col("group_total") * upper / whole)
-        inside = F.col("_rank") <= cut
-        split = F.when(inside, name) if split is None else split.when(inside, name)
-    return ranked.withColumn("split", split).drop("_rank", "group_total")
+    whole, uppers = sum(shares), [sum(shares[: i + 1]) for i in range(len(shares))]
+    sliced = df.withColumn("_slice", F.substring(order[0], 1, 4))
+
+    counts = sliced.groupBy(label, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    of_class = Window.partitionBy(label)
+    upto = of_class.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counts.withColumn("_end", F.sum("_n").over(upto)).withColumn("_total", F.sum("_n").over(of_class))
+    start = F.col("_end") - F.col("_n")
+
+    def split_at(rank: Column) -> Column:
+        chosen = None
+        for name, upper in zip(names, uppers):
+            inside = rank <= F.floor(F.col("_total") * upper / whole)
+            chosen = F.when(inside, name) if chosen is None else chosen.when(inside, name)
+        return chosen
+
+    # A slice is settled when its first and last row fall in the same split; the
+    # settled slices of one split follow each other.
+    slices = placed.select(
+        label,
+        "_slice",
+        "_total",
+        start.alias("_start"),
+        split_at(start + 1).alias("_first"),
+        split_at(F.col("_end")).alias("_last"),
+    )
+    stretches = (
+        slices.groupBy(label, "_total", "_first", "_last")
+        .agg(F.min("_slice").alias("from"), F.max("_slice").alias("to"), F.min("_start").alias("start"))
+        .withColumn("split", F.when(F.col("_first") == F.col("_last"), F.col("_first")))
+    )
+    plan = stretches.groupBy(label, "_total").agg(
+        F.collect_list(F.struct("from", "to", "start", "split")).alias("_plan")
+    )
+    mine = F.expr("filter(_plan, p -> _slice between p.from and p.to)[0]")
+    planned = join_summary(sliced, plan, [label]).withColumn("_mine", mine)
+    settled = planned.filter("_mine.split is not null").withColumn("split", F.col("_mine.split"))
+    open_rows = planned.filter("_mine.split is null").withColumn("_slice_start", F.col("_mine.start"))
+    ranked = running_total(
+        open_rows.drop("_plan", "_mine"), [label, "_slice"], [F.col(c) for c in order], total="_rank"
+    )
+    decided = ranked.withColumn("split", split_at(F.col("_slice_start") + F.col("_rank")))
+    columns = [*df.columns, "split"]
+    return settled.select(*columns).unionByName(decided.select(*columns))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.joins import join_null_safe
+from tallybook.functions.joins import join_null_safe, join_summary
 from tallybook.functions.ordering import first_n, running_total
 from tallybook.functions.paths import base_name, directory, extension
 
@@ -118,15 +118,14 @@ def size_histogram(df: DataFrame, group: Sequence[str] = (), size: str = "size")
 def size_outliers(df: DataFrame, group: Sequence[str], size: str = "size", reach: float = 1.5) -> DataFrame:
     """Rows beyond ``reach`` times the interquartile range, with the two fences.
 
-    The fences are one row per group; the planner broadcasts them only when
-    their measured size allows.
+    The fences are one row per group, so the rows themselves are not shuffled.
     """
     quartiles = exact_percentiles(df, group, size, {"q1": 0.25, "q3": 0.75})
     span = F.col("q3") - F.col("q1")
     fences = quartiles.select(
         *group, (F.col("q1") - reach * span).alias("low_fence"), (F.col("q3") + reach * span).alias("high_fence")
     )
-    return join_null_safe(df, fences, group).filter(
+    return join_summary(df, fences, group).filter(
         (F.col(size) < F.col("low_fence")) | (F.col(size) > F.col("high_fence"))
     )
 

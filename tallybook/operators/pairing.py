@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.functions.joins import join_summary
+
 
 def _first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: Sequence[str]) -> DataFrame:
     fields = list(dict.fromkeys([*order, *keep]))
@@ -29,7 +31,7 @@ def matched_pairs(
     """
     partners = _first_per_key(right, keys, order, keep)
     named = left.select(*keys, *[F.col(c).alias(f"left_{c}") for c in keep])
-    return named.join(partners, list(keys), "inner")
+    return join_summary(named.dropna(subset=list(keys)), partners, keys)
 
 
 def pair_coverage(df: DataFrame, keys: Sequence[str], side: Column, within: Sequence[str] = ()) -> DataFrame:
@@ -57,11 +59,11 @@ def pair_coverage(df: DataFrame, keys: Sequence[str], side: Column, within: Sequ
 def unpaired(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of either side with no partner, marked by ``side``.
 
-    The probe side of each anti-join holds every key once, so a key with many
-    rows is repeated on one side at most.
+    The other side of each anti-join holds every key once, so a key with many
+    rows is repeated on one side at most. Null keys match each other.
     """
-    left_only = left.join(right.select(*keys).distinct(), list(keys), "left_anti")
-    right_only = right.join(left.select(*keys).distinct(), list(keys), "left_anti")
+    left_only = join_summary(left, right.select(*keys).distinct(), keys, "left_anti")
+    right_only = join_summary(right, left.select(*keys).distinct(), keys, "left_anti")
     return left_only.withColumn("side", F.lit("left")).unionByName(right_only.withColumn("side", F.lit("right")))
 
 

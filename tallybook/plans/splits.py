@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.functions.joins import join_summary
 from tallybook.operators.groups import SPLIT_NAMES, SPLIT_SHARES, group_split, linked_groups
 
 
@@ -22,4 +23,4 @@ def leak_free_split(
     Rows without a member are left out, as they belong to no entity.
     """
     components = linked_groups(df, member, via)
-    return group_split(df.join(components, member), F.col("component").cast("string"), names, shares)
+    return group_split(join_summary(df.dropna(subset=[member]), components, [member]), F.col("component").cast("string"), names, shares)
