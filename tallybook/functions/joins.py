@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybook.functions.storage import checkpoint
 
@@ -25,23 +26,35 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined.drop(*[f"_right_{k}" for k in keys])
 
 
+def _width(field: T.StructField):
+    """Bytes of one value: counted for text, by its JSON for nested data, else 8."""
+    if isinstance(field.dataType, T.StringType):
+        return F.coalesce(F.octet_length(field.name), F.lit(0))
+    if isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType, T.BinaryType)):
+        return F.length(F.to_json(F.struct(field.name)))
+    return F.lit(8)
+
+
 def _is_small(df: DataFrame) -> bool:
-    if df.count() > BROADCAST_ROWS:
-        return False
-    size = df.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0]
-    return (size or 0) <= BROADCAST_BYTES
+    width = reduce(lambda a, b: a + b, [_width(f) for f in df.schema.fields])
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
+    return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
 
 
-def join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+def join_summary(
+    rows: DataFrame, summary: DataFrame, keys: Sequence[str], how: str = "inner", stored: bool = False
+) -> DataFrame:
     """Joins ``rows``, many to a key, with ``summary``, one to a key; null matches null.
 
-    The summary is written first. Found small, it is broadcast and the rows are
-    not shuffled at all. Otherwise both sides are shuffled; as a table of its own
-    the summary then has an exchange right below the join, and only in that
-    shape does AQE split the partition of a hot key. A summary still being
-    aggregated in the stage of the join would rule that out.
+    The summary is written first, unless it is ``stored`` already. Found small,
+    it is broadcast and the rows are not shuffled at all. Otherwise both sides
+    are shuffled; as a table of its own the summary then has an exchange right
+    below the join, and only in that shape does AQE split the partition of a hot
+    key. A summary still being aggregated in the stage of the join would rule
+    that out.
     """
-    summary = checkpoint(summary)
+    if not stored:
+        summary = checkpoint(summary)
     if _is_small(summary):
         summary = F.broadcast(summary)
     return join_null_safe(rows, summary, keys, how)

@@ -89,7 +89,7 @@ def _links(df: DataFrame, member: str, via: str) -> DataFrame:
 def _large_star(edges: DataFrame, least: DataFrame) -> DataFrame:
     """Hangs each node below b on the least neighbour of b; the top of a star stays."""
     above = least.select(F.col("a").alias("b"), "_least")
-    moved = join_summary(edges, above, ["b"], "left")
+    moved = join_summary(edges, above, ["b"], "left", stored=True)
     return moved.select("a", F.coalesce("_least", "b").alias("b")).distinct()
 
 
