@@ -2,14 +2,14 @@ from tallybook.functions.hashing import as_key, hash_bucket, split_by_bucket, un
 from tallybook.functions.joins import join_null_safe, join_summary
 from tallybook.functions.ordering import first_n, running_total, with_runs
 from tallybook.functions.paths import PATH_RULES, PathRule, base_name, directory, extension, parse_path
-from tallybook.functions.storage import checkpoint, scratch_path
+from tallybook.functions.storage import clear_scratch, scratch_path, shared_dir, store
 
 __all__ = [
     "PATH_RULES",
     "PathRule",
     "as_key",
     "base_name",
-    "checkpoint",
+    "clear_scratch",
     "directory",
     "extension",
     "first_n",
@@ -19,7 +19,9 @@ __all__ = [
     "parse_path",
     "running_total",
     "scratch_path",
+    "shared_dir",
     "split_by_bucket",
+    "store",
     "uniform_key",
     "with_runs",
 ]

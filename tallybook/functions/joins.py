@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.functions.storage import checkpoint
+from tallybook.functions.storage import store
 
 # A summary is sent to all executors only if it is counted and found this small.
 BROADCAST_ROWS = 100_000
@@ -41,20 +41,16 @@ def _is_small(df: DataFrame) -> bool:
     return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
 
 
-def join_summary(
-    rows: DataFrame, summary: DataFrame, keys: Sequence[str], how: str = "inner", stored: bool = False
-) -> DataFrame:
+def join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Joins ``rows``, many to a key, with ``summary``, one to a key; null matches null.
 
-    The summary is written first, unless it is ``stored`` already. Found small,
-    it is broadcast and the rows are not shuffled at all. Otherwise both sides
-    are shuffled; as a table of its own the summary then has an exchange right
-    below the join, and only in that shape does AQE split the partition of a hot
-    key. A summary still being aggregated in the stage of the join would rule
-    that out.
+    The summary is written first. Found small, it is broadcast and the rows are
+    not shuffled at all. Otherwise both sides are shuffled; as a table of its own
+    the summary then has an exchange right below the join, and only in that
+    shape does AQE split the partition of a hot key. A summary still being
+    aggregated in the stage of the join would rule that out.
     """
-    if not stored:
-        summary = checkpoint(summary)
+    summary = store(summary)
     if _is_small(summary):
         summary = F.broadcast(summary)
     return join_null_safe(rows, summary, keys, how)

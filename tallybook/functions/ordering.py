@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.joins import join_null_safe
-from tallybook.functions.storage import checkpoint
+from tallybook.functions.storage import store
 
 GROUP_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
@@ -52,13 +52,13 @@ def running_total(
     """Exact running sum of ``weight`` (or row number) in each group, and ``group_total``.
 
     ``order`` must be unique within a group. Rows go to ranges of (group, order);
-    the checkpoint pins which row is in which range, since the ranges come from
-    a sample and both the summary and the rows must see the same ones.
+    the table they are written to pins which row is in which range, since the
+    ranges come from a sample and both the summary and the rows must see the same ones.
     """
     _keep(df, group, [weight] if weight else [])
     amount = F.col(weight) if weight else F.lit(1).cast("bigint")
     ranged = df.repartitionByRange(*[F.col(g) for g in group], *order)
-    ranged = checkpoint(ranged.withColumn("_range", F.spark_partition_id()))
+    ranged = store(ranged.withColumn("_range", F.spark_partition_id()))
 
     per_range = ranged.groupBy(*group, "_range").agg(F.sum(amount).alias("_amount"))
     whole = Window.partitionBy(*group)

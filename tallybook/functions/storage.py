@@ -1,4 +1,4 @@
-"""Where intermediate tables go: the shared folder named by the cluster."""
+"""Intermediate tables, kept in the shared folder the cluster names."""
 
 from __future__ import annotations
 
@@ -9,31 +9,43 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_local_dirs: dict[str, str] = {}
 
-def _shared_dir(spark: SparkSession) -> str:
-    configured = spark.conf.get(CHECKPOINT_DIR, None)
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; a temporary one only in local mode."""
+    context = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if configured:
-        return configured
-    if spark.sparkContext.getCheckpointDir():
-        return spark.sparkContext.getCheckpointDir()
-    if not spark.sparkContext.master.startswith("local"):
+        return configured.rstrip("/")
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="tallybook-")
+    app = context.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="tallybook-")
+    return _local_dirs[app]
+
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for one table, below a folder of this application."""
+    return f"{shared_dir(spark)}/tallybook-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> str:
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(_shared_dir(spark))
-    return spark.sparkContext.getCheckpointDir()
 
+def store(df: DataFrame, name: str = "table") -> DataFrame:
+    """Writes the rows as a table and reads them back.
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: rows are fixed on shared storage and lineage ends here."""
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    Rows are fixed from here on and the lineage ends: a lost executor costs a
+    read and not a second, perhaps different, computation. Unlike a checkpoint,
+    a table can be read by column, and it carries over no partitioning.
+    """
+    where = scratch_path(df.sparkSession, name)
+    df.write.parquet(where)
+    return df.sparkSession.read.schema(df.schema).parquet(where)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder for one intermediate table."""
-    base = _ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes the intermediate tables of this application; results that read them must be done."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_dir(spark)}/tallybook-{spark.sparkContext.applicationId}"
+    )
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

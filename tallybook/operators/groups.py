@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.hashing import as_key, hash_bucket, split_by_bucket
-from tallybook.functions.joins import join_summary
+from tallybook.functions import joins
+from tallybook.functions.joins import join_null_safe, join_summary
 from tallybook.functions.ordering import first_n, running_total
-from tallybook.functions.storage import checkpoint
+from tallybook.functions.storage import store
 
 # The usual three splits.
 SPLIT_NAMES = ("train", "val", "test")
@@ -86,39 +87,46 @@ def _links(df: DataFrame, member: str, via: str) -> DataFrame:
     return join_summary(rows, shared, ["_via"]).filter("_least < a").select("a", F.col("_least").alias("b")).distinct()
 
 
-def _large_star(edges: DataFrame, least: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, join: Callable[..., DataFrame]) -> DataFrame:
     """Hangs each node below b on the least neighbour of b; the top of a star stays."""
-    above = least.select(F.col("a").alias("b"), "_least")
-    moved = join_summary(edges, above, ["b"], "left", stored=True)
-    return moved.select("a", F.coalesce("_least", "b").alias("b")).distinct()
+    above = _least(edges, "a", "b").select(F.col("a").alias("b"), "_least")
+    return join(edges, above, ["b"], "left").select("a", F.coalesce("_least", "b").alias("b")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, join: Callable[..., DataFrame]) -> DataFrame:
     """Hangs each node and its smaller neighbours on the least of them."""
-    least = _least(edges, "a", "b").drop("_n")
-    joined = join_summary(edges, least, ["a"])
+    joined = join(edges, _least(edges, "a", "b").drop("_n"), ["a"])
     below = joined.filter("b <> _least").select(F.col("b").alias("a"), F.col("_least").alias("b"))
     return below.unionByName(joined.select("a", F.col("_least").alias("b"))).distinct()
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether each node hangs on one node at most, and on one that hangs on none."""
+    ends = edges.select(F.col("a").alias("_node"), F.lit(1).alias("_up"), F.lit(0).alias("_down")).unionByName(
+        edges.select(F.col("b").alias("_node"), F.lit(0).alias("_up"), F.lit(1).alias("_down"))
+    )
+    nodes = ends.groupBy("_node").agg(F.sum("_up").alias("_ups"), F.max("_down").alias("_down"))
+    return nodes.filter("_ups > 1 or (_ups = 1 and _down = 1)").isEmpty()
+
+
 def linked_groups(df: DataFrame, member: str, via: str, max_rounds: int = 50) -> DataFrame:
     """Member, component (its least member) under links through shared ``via`` values.
 
     Connected components by alternating large-star and small-star steps
     (Kiveris et al., "Connected Components in MapReduce and Beyond", 2014): a
     logarithmic number of rounds, where passing on the least label would take as
-    many as the longest chain. Edges are fixed by a reliable checkpoint after
-    each step. The work is done when every node hangs on one node that hangs on
-    none; running out of rounds is an error, never a partial answer.
+    many as the longest chain. Edges are written to a table after each step; few
+    edges, by count, take both steps at once with plain joins. Running out of
+    rounds is an error, never a partial answer.
     """
-    edges = checkpoint(_links(df, member, via))
+    edges = store(_links(df, member, via))
     for _ in range(max_rounds):
-        least = checkpoint(_least(edges, "a", "b"))
-        if least.filter("_n > 1").isEmpty():
-            tops = edges.select(F.col("b").alias("a")).distinct()
-            if least.join(tops, "a", "left_semi").isEmpty():
-                break
-        edges = checkpoint(_small_star(checkpoint(_large_star(edges, least))))
+        if _all_stars(edges):
+            break
+        if edges.count() <= joins.BROADCAST_ROWS:
+            edges = store(_small_star(_large_star(edges, join_null_safe), join_null_safe))
+        else:
+            edges = store(_small_star(store(_large_star(edges, join_summary)), join_summary))
     else:
         raise RuntimeError(f"links still moving after {max_rounds} rounds")
 

@@ -39,11 +39,12 @@ def pair_coverage(df: DataFrame, keys: Sequence[str], side: Column, within: Sequ
 
     ``side`` is 'left', 'right' or null (row takes no part). Both sides are read
     in one pass and meet in one aggregation, so no join is needed. ``within``
-    must be part of the keys.
+    must be part of the keys; rows without a full key are left out.
     """
     per_key = (
         df.withColumn("_side", side)
         .filter(F.col("_side").isin("left", "right"))
+        .dropna(subset=list(keys))
         .groupBy(*keys)
         .agg(
             F.max((F.col("_side") == "left").cast("int")).alias("_left"),
@@ -60,10 +61,11 @@ def unpaired(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFram
     """Rows of either side with no partner, marked by ``side``.
 
     The other side of each anti-join holds every key once, so a key with many
-    rows is repeated on one side at most. Null keys match each other.
+    rows is repeated on one side at most. Rows without a full key have
+    no partner.
     """
-    left_only = join_summary(left, right.select(*keys).distinct(), keys, "left_anti")
-    right_only = join_summary(right, left.select(*keys).distinct(), keys, "left_anti")
+    left_only = join_summary(left, right.select(*keys).dropna().distinct(), keys, "left_anti")
+    right_only = join_summary(right, left.select(*keys).dropna().distinct(), keys, "left_anti")
     return left_only.withColumn("side", F.lit("left")).unionByName(right_only.withColumn("side", F.lit("right")))
 
 

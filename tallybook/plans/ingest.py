@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallybook.functions.paths import parse_path
 from tallybook.operators.validation import quarantine, validate_manifest
 from tallybook.sources.manifests import MANIFEST_SCHEMA, write_manifest
-from tallybook.sources.pointers import oversized_files, scan_pointers
+from tallybook.sources.pointers import misfit_files, scan_pointers
 
 
 def checked_pointers(scanned: DataFrame) -> DataFrame:
@@ -21,11 +21,11 @@ def build_manifest(spark: SparkSession, root: str, out: str) -> None:
 
     The text scan is the dear part (one open per file). Its result is written
     before it is divided, so the files are not opened a second time for the
-    quarantine. Files too large to be pointers go to the quarantine unread.
+    quarantine. Files too large for a pointer go to the quarantine unread.
     """
     checked_at = f"{out.rstrip('/')}/checked"
     checked_pointers(scan_pointers(spark, root)).write.parquet(checked_at)
     valid, faulty = quarantine(spark.read.parquet(checked_at))
     write_manifest(valid.select(*MANIFEST_SCHEMA.fieldNames()), f"{out.rstrip('/')}/manifest")
-    too_large = oversized_files(spark, root).select("path", F.lit("not a pointer").alias("reason"))
-    faulty.select("path", "reason").unionByName(too_large).write.parquet(f"{out.rstrip('/')}/quarantine")
+    misfits = misfit_files(spark, root).select("path", F.lit("not a pointer").alias("reason"))
+    faulty.select("path", "reason").unionByName(misfits).write.parquet(f"{out.rstrip('/')}/quarantine")

@@ -10,8 +10,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Checkpoint files of finished iterations go away with their DataFrames.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 # Pointer files are ~130 bytes each. The default cost of opening a file (4 MiB)

@@ -1,6 +1,6 @@
 from tallybook.sources.manifests import MANIFEST_SCHEMA, read_manifest, write_manifest
 from tallybook.sources.payloads import scan_payloads
-from tallybook.sources.pointers import POINTER_MAX_BYTES, POINTER_VERSION, oversized_files, read_pointer, scan_pointers
+from tallybook.sources.pointers import POINTER_MAX_BYTES, POINTER_VERSION, misfit_files, read_pointer, scan_pointers
 from tallybook.sources.tables import documents_manifest, pages_addresses, read_table
 
 __all__ = [
@@ -8,7 +8,7 @@ __all__ = [
     "POINTER_MAX_BYTES",
     "POINTER_VERSION",
     "documents_manifest",
-    "oversized_files",
+    "misfit_files",
     "pages_addresses",
     "read_manifest",
     "read_pointer",

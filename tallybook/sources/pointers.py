@@ -20,6 +20,12 @@ SIZE_LINE = r"\nsize (\S+)\n?\z"
 POINTER_MAX_BYTES = 1024
 
 
+def source_path() -> Column:
+    """Path of the file a row was read from; file metadata has it with escapes, as in a URL."""
+    escaped = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(escaped)
+
+
 def relative_path(file_path: Column, root: str) -> Column:
     """File path below ``root``; the scheme in front of the root is ignored."""
     bare = root.split("://", 1)[-1].rstrip("/")
@@ -55,18 +61,18 @@ def scan_pointers(spark: SparkSession, root: str, subdirs: Sequence[str] = ()) -
     The driver lists files, so a tree of billions of files is best taken in
     batches: ``subdirs`` limits the listing to some folders below the root while
     paths stay relative to the root. Files too large to be pointers are dropped
-    by the listing, unread; ``oversized_files`` reports them.
+    unread; ``misfit_files`` reports them. No file source of Spark gives a row
+    for an empty file: such a file shows only as a missing ordinal.
     """
     base = root.rstrip("/")
     where = [f"{base}/{sub}" for sub in subdirs] or [base]
     files = spark.read.text(where, wholetext=True, recursiveFileLookup=True)
     small = files.filter(F.col("_metadata.file_size") <= POINTER_MAX_BYTES)
-    located = small.select(relative_path(F.col("_metadata.file_path"), base).alias("path"), "value")
-    return read_pointer(located)
+    return read_pointer(small.select(relative_path(source_path(), base).alias("path"), "value"))
 
 
-def oversized_files(spark: SparkSession, root: str) -> DataFrame:
-    """path, file_size of files no pointer can be; their content is not read."""
+def misfit_files(spark: SparkSession, root: str) -> DataFrame:
+    """path, file_size of files too large for a pointer; content is not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root.rstrip("/"))
     return files.filter(F.col("length") > POINTER_MAX_BYTES).select(
         relative_path(F.col("path"), root).alias("path"), F.col("length").alias("file_size")

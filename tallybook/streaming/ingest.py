@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallybook.plans.ingest import checked_pointers
-from tallybook.sources.pointers import POINTER_MAX_BYTES, read_pointer, relative_path
+from tallybook.sources.pointers import POINTER_MAX_BYTES, read_pointer, relative_path, source_path
 
 
 def stream_pointers(spark: SparkSession, root: str, max_files_per_trigger: int = 100_000) -> DataFrame:
@@ -25,7 +25,7 @@ def stream_pointers(spark: SparkSession, root: str, max_files_per_trigger: int =
         .load(root.rstrip("/"))
     )
     small = files.filter(F.col("_metadata.file_size") <= POINTER_MAX_BYTES)
-    return read_pointer(small.select(relative_path(F.col("_metadata.file_path"), root).alias("path"), "value"))
+    return read_pointer(small.select(relative_path(source_path(), root).alias("path"), "value"))
 
 
 def ingest_new_pointers(
