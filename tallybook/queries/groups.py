@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.functions.storage import store
 from tallybook.operators import groups as g
 from tallybook.plans.splits import leak_free_split
 from tallybook.queries.registry import DOCS, query
@@ -73,19 +74,20 @@ components AS (SELECT node AS doc_id, min(label) AS component FROM spread GROUP
 
 
 def _lines(documents: DataFrame) -> DataFrame:
-    line = documents.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    return line.filter(F.col("line").rlike(r"\S")).select("doc_id", F.sha2("line", 256).alias("via"))
+    """doc_id and hash of each line of each whole text; null for a blank line.
 
-
-def _all_lines(documents: DataFrame) -> DataFrame:
-    """Documents without a single line still count as members; their link is null."""
+    Written out, as components and splits read it several times: texts are read
+    and hashed once.
+    """
     line = documents.select("doc_id", F.explode_outer(F.split("text", "\n")).alias("line"))
-    return line.select("doc_id", F.when(F.col("line").rlike(r"\S"), F.sha2("line", 256)).alias("via"))
+    return store(
+        line.select("doc_id", F.when(F.col("line").rlike(r"\S"), F.unhex(F.sha2("line", 256))).alias("via")), "lines"
+    )
 
 
 @query("G3", f"WITH RECURSIVE {SQL_COMPONENTS} SELECT doc_id, component FROM components")
 def linked_docs(t):
-    return g.linked_groups(_all_lines(t.documents), "doc_id", "via")
+    return g.linked_groups(_lines(t.documents), "doc_id", "via")
 
 
 BUCKET = "CAST('0x' || substr(sha256(CAST({key} AS VARCHAR)), 1, 8) AS BIGINT) % 100"
@@ -126,7 +128,7 @@ hashed AS (SELECT doc_id, component, CAST({BUCKET.format(key='component')} AS IN
 SELECT doc_id, component, bucket, {SPLIT} AS split FROM hashed""",
 )
 def linked_doc_split(t):
-    lines = _all_lines(t.documents)
+    lines = _lines(t.documents)
     return g.group_split(g.linked_groups(lines, "doc_id", "via"), F.col("component").cast("string"))
 
 
@@ -167,4 +169,5 @@ SELECT path, oid, lang, CASE WHEN r <= n * 80 // 100 THEN 'train' WHEN r <= n *
 FROM ranked""",
 )
 def stratified_split(t):
-    return g.stratified_split(documents_manifest(t.documents).select("path", "oid", "lang"), "lang")
+    docs = store(documents_manifest(t.documents).select("path", "oid", "lang"), "docs")
+    return g.stratified_split(docs, "lang")
