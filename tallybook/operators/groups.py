@@ -184,19 +184,18 @@ def stratified_split(
     """Adds ``split`` with each class cut at the floor of the cumulative shares.
 
     Rows go by content hash (``order`` must break all ties), so copies of one oid
-    are neighbours. Counts by the first four digits of the hash tell in which of
-    65,536 slices of a class each cut falls. Rows of other slices are placed
+    are neighbours. Counts by the first three digits of the hash tell in which of
+    4,096 slices of a class each cut falls. Rows of other slices are placed
     where they are, without a shuffle; only the slices with a cut are ranked,
     range by range, as one oid may fill a slice.
     """
     whole, uppers = sum(shares), [sum(shares[: i + 1]) for i in range(len(shares))]
-    sliced = df.withColumn("_slice", F.substring(order[0], 1, 4))
+    sliced = df.withColumn("_slice", F.substring(order[0], 1, 3))
 
     counts = sliced.groupBy(label, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     of_class = Window.partitionBy(label)
     upto = of_class.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = counts.withColumn("_end", F.sum("_n").over(upto)).withColumn("_total", F.sum("_n").over(of_class))
-    start = F.col("_end") - F.col("_n")
 
     def split_at(rank: Column) -> Column:
         chosen = None
@@ -205,31 +204,36 @@ def stratified_split(
             chosen = F.when(inside, name) if chosen is None else chosen.when(inside, name)
         return chosen
 
-    # A slice is settled when its first and last row fall in the same split; the
-    # settled slices of one split follow each other.
+    before = F.col("_end") - F.col("_n")
     slices = placed.select(
-        label,
-        "_slice",
-        "_total",
-        start.alias("_start"),
-        split_at(start + 1).alias("_first"),
-        split_at(F.col("_end")).alias("_last"),
-    )
-    stretches = (
-        slices.groupBy(label, "_total", "_first", "_last")
-        .agg(F.min("_slice").alias("from"), F.max("_slice").alias("to"), F.min("_start").alias("start"))
-        .withColumn("split", F.when(F.col("_first") == F.col("_last"), F.col("_first")))
-    )
-    plan = stretches.groupBy(label, "_total").agg(
-        F.collect_list(F.struct("from", "to", "start", "split")).alias("_plan")
+        label, "_slice", "_total", before.alias("_before"), split_at(before + 1).alias("_first"), split_at(F.col("_end")).alias("_last")
     )
-    mine = F.expr("filter(_plan, p -> _slice between p.from and p.to)[0]")
-    planned = join_summary(sliced, plan, [label]).withColumn("_mine", mine)
-    settled = planned.filter("_mine.split is not null").withColumn("split", F.col("_mine.split"))
-    open_rows = planned.filter("_mine.split is null").withColumn("_slice_start", F.col("_mine.start"))
-    ranked = running_total(
-        open_rows.drop("_plan", "_mine"), [label, "_slice"], [F.col(c) for c in order], total="_rank"
-    )
-    decided = ranked.withColumn("split", split_at(F.col("_slice_start") + F.col("_rank")))
+    # A slice is settled when its first and last row fall in the same split; the
+    # settled slices of one split follow each other, and one slice at most runs
+    # from a split into later ones.
+    ends, settled_split, rows_before = [F.max("_total").alias("_total")], None, None
+    for i, name in enumerate(names):
+        begins = F.col("_first") == name
+        mine, cut = begins & (F.col("_last") == name), begins & (F.col("_last") != name)
+        ends += [
+            F.min(F.when(mine, F.col("_slice"))).alias(f"_from_{i}"),
+            F.max(F.when(mine, F.col("_slice"))).alias(f"_to_{i}"),
+            F.max(F.when(cut, F.col("_slice"))).alias(f"_cut_{i}"),
+            F.max(F.when(cut, F.col("_before"))).alias(f"_before_{i}"),
+        ]
+        inside = F.col("_slice").between(F.col(f"_from_{i}"), F.col(f"_to_{i}"))
+        on_cut = F.col("_slice") == F.col(f"_cut_{i}")
+        settled_split = F.when(inside, name) if settled_split is None else settled_split.when(inside, name)
+        at = F.col(f"_before_{i}")
+        rows_before = F.when(on_cut, at) if rows_before is None else rows_before.when(on_cut, at)
+
     columns = [*df.columns, "split"]
-    return settled.select(*columns).unionByName(decided.select(*columns))
+    planned = join_summary(sliced, slices.groupBy(label).agg(*ends), [label]).withColumn("split", settled_split)
+    settled = planned.filter(F.col("split").isNotNull()).select(*columns)
+
+    unsettled = planned.filter(F.col("split").isNull()).select(
+        *df.columns, "_slice", "_total", rows_before.alias("_before")
+    )
+    ranked = running_total(unsettled, [label, "_slice"], [F.col(c) for c in order], total="_rank")
+    decided = ranked.withColumn("split", split_at(F.col("_before") + F.col("_rank"))).select(*columns)
+    return settled.unionByName(decided)
