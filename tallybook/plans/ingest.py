@@ -19,7 +19,7 @@ def checked_pointers(scanned: DataFrame) -> DataFrame:
 def build_manifest(spark: SparkSession, root: str, out: str) -> None:
     """Reads pointers below ``root`` once, writes ``out``/checked, ``out``/manifest and ``out``/quarantine.
 
-    The text scan is the dear part (one open per file). Its result is written
+    The scan is the dear part (one open per file). Its result is written
     before it is divided, so the files are not opened a second time for the
     quarantine. Files too large for a pointer go to the quarantine unread.
     """

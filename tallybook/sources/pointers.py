@@ -1,7 +1,8 @@
 """M1: pointer files as rows.
 
 A pointer file is three lines of text: version, oid and size. One file is one
-row, so the whole-text source is used; fields come from one anchored pattern.
+row. Files are read as binary content and taken as text here: for files this
+small the whole-text source spends several times as long on each.
 """
 
 from __future__ import annotations
@@ -20,12 +21,6 @@ SIZE_LINE = r"\nsize (\S+)\n?\z"
 POINTER_MAX_BYTES = 1024
 
 
-def source_path() -> Column:
-    """Path of the file a row was read from; file metadata has it with escapes, as in a URL."""
-    escaped = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    return F.url_decode(escaped)
-
-
 def relative_path(file_path: Column, root: str) -> Column:
     """File path below ``root``; the scheme in front of the root is ignored."""
     bare = root.split("://", 1)[-1].rstrip("/")
@@ -34,6 +29,15 @@ def relative_path(file_path: Column, root: str) -> Column:
     return F.substring(file_path, at + len(bare) + 1, F.length(file_path))
 
 
+def pointer_files(files: DataFrame, root: str) -> DataFrame:
+    """path below ``root`` and text of the files small enough for a pointer, from a binary file source.
+
+    The size is tested on file metadata, so larger files drop out of the listing.
+    """
+    small = files.filter(F.col("_metadata.file_size") <= POINTER_MAX_BYTES)
+    return small.select(relative_path(F.col("path"), root).alias("path"), F.col("content").cast("string").alias("value"))
+
+
 def read_pointer(files: DataFrame, text: str = "value") -> DataFrame:
     """Adds version, oid, size and ``well_formed`` from the text of a pointer file.
 
@@ -66,14 +70,15 @@ def scan_pointers(spark: SparkSession, root: str, subdirs: Sequence[str] = ()) -
     """
     base = root.rstrip("/")
     where = [f"{base}/{sub}" for sub in subdirs] or [base]
-    files = spark.read.text(where, wholetext=True, recursiveFileLookup=True)
-    small = files.filter(F.col("_metadata.file_size") <= POINTER_MAX_BYTES)
-    return read_pointer(small.select(relative_path(source_path(), base).alias("path"), "value"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(where)
+    return read_pointer(pointer_files(files, base))
 
 
 def misfit_files(spark: SparkSession, root: str) -> DataFrame:
     """path, file_size of files too large for a pointer; content is not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root.rstrip("/"))
-    return files.filter(F.col("length") > POINTER_MAX_BYTES).select(
+    # A filter on ``length`` would be applied file by file, and thousands of files
+    # without a row in one task exhaust its stack; metadata is tested in the listing.
+    return files.filter(F.col("_metadata.file_size") > POINTER_MAX_BYTES).select(
         relative_path(F.col("path"), root).alias("path"), F.col("length").alias("file_size")
     )

@@ -8,24 +8,25 @@ beyond the list of files already read, which the file source keeps.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallybook.plans.ingest import checked_pointers
-from tallybook.sources.pointers import POINTER_MAX_BYTES, read_pointer, relative_path, source_path
+from tallybook.sources.pointers import pointer_files, read_pointer
+
+# Fixed value: columns of Spark's binary file source.
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def stream_pointers(spark: SparkSession, root: str, max_files_per_trigger: int = 100_000) -> DataFrame:
     """Streaming form of ``scan_pointers``."""
     files = (
-        spark.readStream.format("text")
-        .option("wholetext", "true")
+        spark.readStream.format("binaryFile")
+        .schema(FILE_SCHEMA)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .load(root.rstrip("/"))
     )
-    small = files.filter(F.col("_metadata.file_size") <= POINTER_MAX_BYTES)
-    return read_pointer(small.select(relative_path(source_path(), root).alias("path"), "value"))
+    return read_pointer(pointer_files(files, root))
 
 
 def ingest_new_pointers(
