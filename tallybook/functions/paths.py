@@ -79,38 +79,45 @@ def extension(path: str | Column = "path") -> Column:
     return F.nullif(F.lower(found), F.lit(""))
 
 
+# What a path may say twice; the second saying must agree with the first.
+REPEATED = {"name_modality": "modality", "name_label": "label"}
+
+_MATCHED = "matched"
+
+
+def _layout(rule: PathRule, fields: Sequence[str]) -> str:
+    """Replacement that puts the groups of a rule in the order of ``fields``, slash-separated."""
+    return "/".join([_MATCHED, *[f"${rule.columns.index(f) + 1}" if f in rule.columns else "" for f in fields]])
+
+
 def parse_path(df: DataFrame, rules: Sequence[PathRule] = PATH_RULES, path: str = "path") -> DataFrame:
     """Adds origin, the ATTRIBUTES columns and ``path_problem`` (null when all is well).
 
     ``path_problem`` is ``no rule`` for a path that fits no pattern and ``name
     disagrees`` where folder and file name give different modality or label. The
-    origin is the first folder, so each row is tried against its own rule only.
+    origin is the first folder and picks the one pattern a path is tried against,
+    once: the match is rewritten as all fields in one order and split at slashes.
     """
-    source = F.col(path)
-    origin = F.substring_index(source, "/", 1)
-
-    def attribute(name: str) -> Column:
-        chosen = None
-        for rule in rules:
-            if name in rule.columns:
-                group = rule.columns.index(name) + 1
-                value = F.nullif(F.regexp_extract(source, rule.pattern, group), F.lit(""))
-                mine = origin == rule.origin
-                chosen = F.when(mine, value) if chosen is None else chosen.when(mine, value)
-        return F.lit(None).cast("string") if chosen is None else chosen
-
-    fits = None
+    fields = [*ATTRIBUTES, *REPEATED]
+    rewritten = None
     for rule in rules:
-        ok = source.rlike(rule.pattern)
-        fits = F.when(origin == rule.origin, ok) if fits is None else fits.when(origin == rule.origin, ok)
-
-    disagrees = (attribute("name_modality") != attribute("modality")) | (attribute("name_label") != attribute("label"))
-    columns = {
-        "origin": origin,
-        **{
-            name: attribute(name) if isinstance(kind, T.StringType) else attribute(name).try_cast(kind)
-            for name, kind in ATTRIBUTES.items()
-        },
-        "path_problem": F.when(~F.coalesce(fits, F.lit(False)), "no rule").when(disagrees, "name disagrees"),
+        here, text = F.col("origin") == rule.origin, F.regexp_replace(path, rule.pattern, _layout(rule, fields))
+        rewritten = F.when(here, text) if rewritten is None else rewritten.when(here, text)
+
+    def field(name: str) -> Column:
+        return F.when(F.col("_fits"), F.nullif(F.get("_fields", F.lit(fields.index(name) + 1)), F.lit("")))
+
+    disagrees = F.lit(False)
+    for second, first in REPEATED.items():
+        disagrees = disagrees | (field(second) != field(first))
+    attributes = {
+        name: field(name) if isinstance(kind, T.StringType) else field(name).try_cast(kind)
+        for name, kind in ATTRIBUTES.items()
     }
-    return df.withColumns(columns)
+    return (
+        df.withColumn("origin", F.substring_index(path, "/", 1))
+        .withColumn("_fields", F.split(rewritten, "/"))
+        .withColumn("_fits", F.coalesce(F.get("_fields", F.lit(0)) == _MATCHED, F.lit(False)))
+        .withColumns({**attributes, "path_problem": F.when(~F.col("_fits"), "no rule").when(disagrees, "name disagrees")})
+        .drop("_fields", "_fits")
+    )

@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 # The pointer format and the largest file that can be a pointer.
 POINTER_VERSION = "https://git-lfs.github.com/spec/v1"
 POINTER_PATTERN = r"\Aversion (\S+)\noid sha256:([0-9a-f]{64})\nsize ([0-9]+)\n\z"
-VERSION_LINE = r"\Aversion (\S+)\n"
-OID_LINE = r"\noid sha256:([0-9A-Za-z]*)\n"
-SIZE_LINE = r"\nsize (\S+)\n?\z"
+LINE_STARTS = {"version": "version ", "oid": "oid sha256:", "size": "size "}
 POINTER_MAX_BYTES = 1024
 
 
@@ -41,22 +39,26 @@ def pointer_files(files: DataFrame, root: str) -> DataFrame:
 def read_pointer(files: DataFrame, text: str = "value") -> DataFrame:
     """Adds version, oid, size and ``well_formed`` from the text of a pointer file.
 
-    Fields of a malformed file are still read where their line can be found, so
-    that validation can name the fault. ``size`` is null when it is no bigint.
+    Each field is the rest of its line, so a malformed file still gives what can
+    be read of it and validation can name the fault. ``size`` is null when it is
+    no bigint.
     """
-    body = F.col(text)
-
-    def line(pattern: str) -> Column:
-        return F.nullif(F.regexp_extract(body, pattern, 1), F.lit(""))
-
-    return files.withColumns(
-        {
-            "version": line(VERSION_LINE),
-            "oid": line(OID_LINE),
-            "size": line(SIZE_LINE).try_cast("bigint"),
-            "well_formed": body.rlike(POINTER_PATTERN),
-        }
-    ).drop(text)
+    parts = {
+        name: F.when(F.startswith(line, F.lit(start)), F.substring(line, len(start) + 1, POINTER_MAX_BYTES))
+        for (name, start), line in zip(LINE_STARTS.items(), [F.get("_lines", F.lit(i)) for i in range(3)])
+    }
+    return (
+        files.withColumn("_lines", F.split(text, "\n"))
+        .withColumns(
+            {
+                "version": parts["version"],
+                "oid": parts["oid"],
+                "size": parts["size"].try_cast("bigint"),
+                "well_formed": F.col(text).rlike(POINTER_PATTERN),
+            }
+        )
+        .drop(text, "_lines")
+    )
 
 
 def scan_pointers(spark: SparkSession, root: str, subdirs: Sequence[str] = ()) -> DataFrame:
