@@ -48,7 +48,8 @@ def missing_ordinals(
         bounds = df.groupBy(*group).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
     step = F.lit(block).cast("bigint")
     fences = (
-        bounds.select(*group, "lo", "hi", F.explode(F.sequence(_block("lo", block), _block("hi", block), step)).alias("_block"))
+        bounds.withColumn("_blocks", F.sequence(_block("lo", block), _block("hi", block), step))
+        .select(*group, "lo", "hi", F.explode("_blocks").alias("_block"))
         .withColumn("_from", F.greatest("lo", "_block"))
         .withColumn("_to", F.least("hi", F.col("_block") + (block - 1)))
         .select(

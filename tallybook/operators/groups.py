@@ -206,7 +206,12 @@ def stratified_split(
 
     before = F.col("_end") - F.col("_n")
     slices = placed.select(
-        label, "_slice", "_total", before.alias("_before"), split_at(before + 1).alias("_first"), split_at(F.col("_end")).alias("_last")
+        label,
+        "_slice",
+        "_total",
+        before.alias("_before"),
+        split_at(before + 1).alias("_first"),
+        split_at(F.col("_end")).alias("_last"),
     )
     # A slice is settled when its first and last row fall in the same split; the
     # settled slices of one split follow each other, and one slice at most runs

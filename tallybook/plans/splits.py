@@ -23,4 +23,5 @@ def leak_free_split(
     Rows without a member are left out, as they belong to no entity.
     """
     components = linked_groups(df, member, via)
-    return group_split(join_summary(df.dropna(subset=[member]), components, [member]), F.col("component").cast("string"), names, shares)
+    placed = join_summary(df.dropna(subset=[member]), components, [member])
+    return group_split(placed, F.col("component").cast("string"), names, shares)
