@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import simhash
+from tallybook.llm import decontaminate, simhash
 from tallybook.sources.tables import read_table
 
 
@@ -18,6 +18,50 @@ class LlmQuery:
     sql: str | None = None
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10-word windows of all benchmark items in all documents."""
+    found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["begin"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+OP4_SQL = r"""
+WITH RECURSIVE lower_docs AS (
+  SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+docs AS (SELECT row_no, doc_id, coalesce(w, []) AS w FROM lower_docs),
+items AS (
+  SELECT item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+windows AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, least(10, len(w)) AS k,
+         array_to_string(w[s:s + least(10, len(w)) - 1], ' ') AS win
+  FROM items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(s) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT k FROM windows),
+places AS (
+  SELECT row_no, s, k, array_to_string(w[s:s + k - 1], ' ') AS win
+  FROM docs, sizes, unnest(range(1, len(w) - k + 2)) AS t(s) WHERE len(w) >= k),
+hits AS (SELECT row_no, s, places.k, item FROM places JOIN windows ON places.win = windows.win AND places.k = windows.k),
+covered AS (
+  SELECT row_no, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT row_no, s, k FROM hits), unnest(range(s, s + k)) AS t(p) GROUP BY 1),
+named AS (
+  SELECT row_no, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT row_no, item FROM hits WHERE item IS NOT NULL) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (row_no) LEFT JOIN named USING (row_no)
+"""
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies among all documents: 3-word shingles, at most 3 differing bits."""
     found = simhash.near_copies(read_table(spark, sf_dir, "documents"))
@@ -25,5 +69,6 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, LlmQuery] = {
+    "op4_benchmark_decontamination": LlmQuery(op4_benchmark_decontamination, OP4_SQL),
     "op7_simhash_near_dedup": LlmQuery(op7_simhash_near_dedup),
 }
