@@ -8,7 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import decontaminate, simhash
+from tallybook.functions.joins import join_null_safe
+from tallybook.functions.storage import store
+from tallybook.llm import chat, decontaminate, simhash
 from tallybook.sources.tables import read_table
 
 
@@ -68,7 +70,38 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that looks like the template, through the event log, the template and back."""
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    planted = spark.range(2).select(
+        F.lit(-7).cast("bigint"), "id", F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(said)
+    )
+    formatted = store(chat.render(chat.fold(chat.log_of(rows.union(planted)))), "formatted")
+    found = chat.digests(chat.read_back(formatted))
+    lengths = formatted.select("conv_id", F.char_length("formatted").cast("bigint").alias("formatted_chars"))
+    return join_null_safe(found, lengths, ["conv_id"])
+
+
+OP9_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+marked AS (
+  SELECT *, replace(replace(replace(text, '\', '\\'), '###', '\h'), '</turn>', '\t') AS body,
+         replace(replace(replace(replace(role, '\', '\\'), '###', '\h'), '</turn>', '\t'), ':', '\c') AS head FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(head) + length(body) + 14) AS BIGINT) AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+
 QUERIES: dict[str, LlmQuery] = {
     "op4_benchmark_decontamination": LlmQuery(op4_benchmark_decontamination, OP4_SQL),
     "op7_simhash_near_dedup": LlmQuery(op7_simhash_near_dedup),
+    "op9_chat_formatting": LlmQuery(op9_chat_formatting, OP9_SQL),
 }
