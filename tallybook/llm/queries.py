@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.joins import join_null_safe
 from tallybook.functions.storage import store
-from tallybook.llm import chat, decontaminate, simhash
+from tallybook.llm import cascade, chat, decontaminate, simhash
 from tallybook.sources.tables import read_table
 
 
@@ -100,8 +100,44 @@ FROM marked GROUP BY conv_id
 """
 
 
+URL_RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by the rules."""
+    rules = spark.createDataFrame(list(URL_RULES), "host string, path string, action string")
+    return cascade.judge(read_table(spark, sf_dir, "pages"), rules)
+
+
+OP10_SQL = r"""
+WITH rules(host, path, action) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+         ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+parts AS (
+  SELECT row_number() OVER () AS row_no, page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+best AS (
+  SELECT row_no, arg_max(rules.host || rules.path, length(rules.host || rules.path)) AS rule,
+         arg_max(action, length(rules.host || rules.path)) AS action
+  FROM parts JOIN rules ON (parts.host = rules.host OR ends_with(parts.host, '.' || rules.host))
+       AND starts_with(parts.path, rules.path)
+  GROUP BY row_no)
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM parts LEFT JOIN best USING (row_no)
+"""
+
+
 QUERIES: dict[str, LlmQuery] = {
     "op4_benchmark_decontamination": LlmQuery(op4_benchmark_decontamination, OP4_SQL),
     "op7_simhash_near_dedup": LlmQuery(op7_simhash_near_dedup),
     "op9_chat_formatting": LlmQuery(op9_chat_formatting, OP9_SQL),
+    "op10_url_filters": LlmQuery(op10_url_filters, OP10_SQL),
 }
