@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.joins import join_null_safe
 from tallybook.functions.storage import store
-from tallybook.llm import cascade, chat, decontaminate, simhash
+from tallybook.llm import cascade, chat, decontaminate, simhash, warc
 from tallybook.sources.tables import read_table
 
 
@@ -64,6 +64,13 @@ FROM docs LEFT JOIN covered USING (row_no) LEFT JOIN named USING (row_no)
 """
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A WARC record for every page, written to ZIP packages and read back by ranges."""
+    packages = warc.write_packages(read_table(spark, sf_dir, "pages"))
+    found = warc.read_records(packages, payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies among all documents: 3-word shingles, at most 3 differing bits."""
     found = simhash.near_copies(read_table(spark, sf_dir, "documents"))
@@ -137,6 +144,7 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM part
 
 QUERIES: dict[str, LlmQuery] = {
     "op4_benchmark_decontamination": LlmQuery(op4_benchmark_decontamination, OP4_SQL),
+    "op5_warc": LlmQuery(op5_warc),
     "op7_simhash_near_dedup": LlmQuery(op7_simhash_near_dedup),
     "op9_chat_formatting": LlmQuery(op9_chat_formatting, OP9_SQL),
     "op10_url_filters": LlmQuery(op10_url_filters, OP10_SQL),
