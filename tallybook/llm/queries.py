@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.joins import join_null_safe
 from tallybook.functions.storage import store
-from tallybook.llm import cascade, chat, decontaminate, simhash, warc
+from tallybook.llm import cascade, chat, decontaminate, hnsw, simhash, warc
 from tallybook.sources.tables import read_table
 
 
@@ -20,6 +20,12 @@ class LlmQuery:
     sql: str | None = None
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest found among all vectors for each whose vec_id is divisible by 100."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return hnsw.search(hnsw.build_index(vectors, 10), vectors.filter(F.col("vec_id") % 100 == 0), 10)
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """10-word windows of all benchmark items in all documents."""
     found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -143,6 +149,7 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM part
 
 
 QUERIES: dict[str, LlmQuery] = {
+    "op2_nearest_neighbours": LlmQuery(op2_nearest_neighbours),
     "op4_benchmark_decontamination": LlmQuery(op4_benchmark_decontamination, OP4_SQL),
     "op5_warc": LlmQuery(op5_warc),
     "op7_simhash_near_dedup": LlmQuery(op7_simhash_near_dedup),
