@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.joins import join_null_safe
 from tallybook.functions.storage import store
-from tallybook.llm import cascade, chat, decontaminate, hnsw, simhash, warc
+from tallybook.llm import cascade, chat, decontaminate, extract, hnsw, labelled, simhash, warc
 from tallybook.sources.tables import read_table
 
 
@@ -26,6 +26,15 @@ def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.search(hnsw.build_index(vectors, 10), vectors.filter(F.col("vec_id") % 100 == 0), 10)
 
 
+LABELLED_PAGES = 900
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, by a chain trained on labelled pages."""
+    samples = spark.createDataFrame(labelled.pages(LABELLED_PAGES), "html string, main array<boolean>")
+    return extract.extract(read_table(spark, sf_dir, "pages"), extract.train(samples))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """10-word windows of all benchmark items in all documents."""
     found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -150,6 +159,7 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM part
 
 QUERIES: dict[str, LlmQuery] = {
     "op2_nearest_neighbours": LlmQuery(op2_nearest_neighbours),
+    "op3_html_extraction": LlmQuery(op3_html_extraction),
     "op4_benchmark_decontamination": LlmQuery(op4_benchmark_decontamination, OP4_SQL),
     "op5_warc": LlmQuery(op5_warc),
     "op7_simhash_near_dedup": LlmQuery(op7_simhash_near_dedup),
