@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.joins import join_null_safe
 from tallybook.functions.storage import store
-from tallybook.llm import cascade, chat, decontaminate, extract, hnsw, labelled, simhash, warc
+from tallybook.llm import cascade, chat, decontaminate, extract, hnsw, labelled, quality, simhash, warc
 from tallybook.sources.tables import read_table
 
 
@@ -92,6 +92,12 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under the model of trusted text, and whether it is kept."""
+    found = quality.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "lang", "n_bytes", "perplexity", "limit", "keep")
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one that looks like the template, through the event log, the template and back."""
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -163,6 +169,7 @@ QUERIES: dict[str, LlmQuery] = {
     "op4_benchmark_decontamination": LlmQuery(op4_benchmark_decontamination, OP4_SQL),
     "op5_warc": LlmQuery(op5_warc),
     "op7_simhash_near_dedup": LlmQuery(op7_simhash_near_dedup),
+    "op8_quality_classifier": LlmQuery(op8_quality_classifier),
     "op9_chat_formatting": LlmQuery(op9_chat_formatting, OP9_SQL),
     "op10_url_filters": LlmQuery(op10_url_filters, OP10_SQL),
 }
