@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.joins import join_null_safe
 from tallybook.functions.storage import store
-from tallybook.llm import cascade, chat, decontaminate, extract, hnsw, labelled, quality, simhash, warc
+from tallybook.llm import cascade, chat, decontaminate, extract, hnsw, labelled, mixing, quality, simhash, warc
 from tallybook.sources.tables import read_table
 
 
@@ -86,6 +86,12 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rate for every document at which the domains of the labels table get their target shares of tokens."""
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", mixing.domain_of().alias("domain"))
+    return mixing.rates(read_table(spark, sf_dir, "documents"), labels, mixing.TARGETS).drop("hash")
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies among all documents: 3-word shingles, at most 3 differing bits."""
     found = simhash.near_copies(read_table(spark, sf_dir, "documents"))
@@ -168,6 +174,7 @@ QUERIES: dict[str, LlmQuery] = {
     "op3_html_extraction": LlmQuery(op3_html_extraction),
     "op4_benchmark_decontamination": LlmQuery(op4_benchmark_decontamination, OP4_SQL),
     "op5_warc": LlmQuery(op5_warc),
+    "op6_mixing": LlmQuery(op6_mixing),
     "op7_simhash_near_dedup": LlmQuery(op7_simhash_near_dedup),
     "op8_quality_classifier": LlmQuery(op8_quality_classifier),
     "op9_chat_formatting": LlmQuery(op9_chat_formatting, OP9_SQL),
