@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.joins import join_null_safe
 from tallybook.functions.storage import store
-from tallybook.llm import cascade, chat, decontaminate, extract, hnsw, labelled, mixing, quality, simhash, warc
+from tallybook.llm import cascade, chat, decontaminate, extract, hnsw, labelled, mixing, quality, scoring, simhash, warc
 from tallybook.sources.tables import read_table
 
 
@@ -20,6 +20,11 @@ class LlmQuery:
     sql: str | None = None
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability under the model of those that are not held out."""
+    return scoring.language_model_scores(read_table(spark, sf_dir, "documents"))
+
+
 def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest found among all vectors for each whose vec_id is divisible by 100."""
     vectors = read_table(spark, sf_dir, "embeddings")
@@ -170,6 +175,7 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM part
 
 
 QUERIES: dict[str, LlmQuery] = {
+    "op1_lm_scoring": LlmQuery(op1_lm_scoring),
     "op2_nearest_neighbours": LlmQuery(op2_nearest_neighbours),
     "op3_html_extraction": LlmQuery(op3_html_extraction),
     "op4_benchmark_decontamination": LlmQuery(op4_benchmark_decontamination, OP4_SQL),
