@@ -12,7 +12,7 @@ def as_key(*cols: str | Column) -> Column:
     """One string for one or more key columns (``|`` between parts, nulls kept apart)."""
     parts = [F.col(c) if isinstance(c, str) else c for c in cols]
     if len(parts) == 1:
-        return parts[0].cast("string")
+        return F.coalesce(parts[0].cast("string"), F.lit("\u0000"))
     return F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("\u0000")) for p in parts])
 
 

@@ -17,11 +17,14 @@ BROADCAST_BYTES = 32 << 20
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` in which null matches null; keys come from the left."""
+    """Equi-join on ``keys`` in which null matches null; keys come from the left.
+
+    Without keys everything matches: the right side is then a summary of one row.
+    """
     if how not in ("inner", "left", "left_anti", "left_semi"):
         raise ValueError(f"unsupported join type: {how}")
     marked = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    condition = reduce(lambda a, b: a & b, [left[k].eqNullSafe(marked[f"_right_{k}"]) for k in keys])
+    condition = reduce(lambda a, b: a & b, [left[k].eqNullSafe(marked[f"_right_{k}"]) for k in keys] or [F.lit(True)])
     joined = left.join(marked, condition, how)
     return joined.drop(*[f"_right_{k}" for k in keys])
 

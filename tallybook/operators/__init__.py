@@ -42,7 +42,7 @@ from tallybook.operators.inventory import (
     size_outliers,
     size_stats,
 )
-from tallybook.operators.pairing import matched_pairs, pair_coverage, pair_size_ratio, unpaired
+from tallybook.operators.pairing import matched_pairs, pair_coverage, pair_size_ratio, repeated_partners, unpaired
 from tallybook.operators.validation import quarantine, validate, validate_manifest, verify_payloads
 
 __all__ = [
@@ -75,6 +75,7 @@ __all__ = [
     "pair_coverage",
     "pair_size_ratio",
     "quarantine",
+    "repeated_partners",
     "routing_check",
     "shard_fill",
     "shared_children",

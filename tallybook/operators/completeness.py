@@ -118,14 +118,18 @@ def routing_check(df: DataFrame, shard: str, expected: Column) -> DataFrame:
     return df.groupBy(shard).agg(F.count_if(kept).alias("n_kept"), F.count_if(~kept).alias("n_broken"))
 
 
-def missing_shards(df: DataFrame, shard: str, total: str | Column, group: Sequence[str] = ()) -> DataFrame:
+def missing_shards(
+    df: DataFrame, shard: str, total: str | Column, group: Sequence[str] = (), declared: DataFrame | None = None
+) -> DataFrame:
     """C4: shards 0..total-1 of which no row exists; ``total`` is the highest declared.
 
-    The range is laid out in blocks first, so a group of many shards is spread
-    over tasks before single numbers are made.
+    ``declared`` (group columns and ``total``) states the totals apart from the rows, so
+    that a group without any row is missed too. The range is laid out in blocks
+    first, so a group of many shards is spread over tasks before single numbers are made.
     """
     total = F.col(total) if isinstance(total, str) else total
-    declared = df.groupBy(*group).agg((F.max(total).cast("bigint") - 1).alias("hi"))
+    stated = df if declared is None else declared
+    declared = stated.groupBy(*group).agg((F.max(total).cast("bigint") - 1).alias("hi"))
     bounds = declared.filter(F.col("hi") >= 0).withColumn("lo", F.lit(0).cast("bigint"))
     return missing_ordinals(df, group, shard, bounds=bounds)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybook.functions.hashing import as_key, hash_bucket, split_by_bucket
+from tallybook.functions.hashing import hash_bucket, split_by_bucket
 from tallybook.functions import joins
 from tallybook.functions.joins import join_null_safe, join_summary
 from tallybook.functions.ordering import first_n, running_total
@@ -17,47 +17,19 @@ from tallybook.functions.storage import store
 SPLIT_NAMES = ("train", "val", "test")
 SPLIT_SHARES = (80, 10, 10)
 
-# Members listed in one row of a hierarchy; an entity with more takes more rows.
-PAGE = 10_000
 
+def entity_hierarchy(df: DataFrame, parent: str, child: str, member: Sequence[str]) -> DataFrame:
+    """G1: every (parent, child, member) row with ``member_no``, ``n_children`` and ``n_members``.
 
-def _paged(df: DataFrame, entity: Sequence[str], member: Column, page: int) -> DataFrame:
-    """Adds ``page``: 0, or a hash bucket of the member where the entity is too big for one row.
-
-    Only entities of more than ``page`` rows are looked up: at most one for each
-    ``page`` rows of the table, mostly none.
+    Members are numbered from 1 through all children of a parent, in order of child and
+    member; the counts are those of the whole parent. Long form, so a parent
+    may have any number of members: numbers come range by range.
     """
-    pages = F.ceil(F.count(F.lit(1)) / F.lit(page)).cast("int")
-    large = df.groupBy(*entity).agg(pages.alias("_pages")).filter(F.col("_pages") > 1)
-    bucket = F.pmod(hash_bucket(member, 1 << 30), F.col("_pages"))
-    return (
-        join_summary(df, large, entity, "left")
-        .withColumn("page", F.coalesce(bucket, F.lit(0)).cast("int"))
-        .drop("_pages")
-    )
-
-
-def entity_hierarchy(
-    df: DataFrame, parent: str, child: str, member: Sequence[str], page: int = PAGE
-) -> DataFrame:
-    """G1: parent, page, n_children, n_members and ``children``: array of (child, members).
-
-    An entity of up to ``page`` members is one row. A larger one is spread over
-    as many rows as it needs, by a hash of its members, so that no row and no
-    task has to hold it whole; the rows of a parent together hold every member
-    once.
-    """
-    key = as_key(child, *member)
-    paged = _paged(df.select(parent, child, *member), [parent], key, page)
-    per_child = paged.groupBy(parent, "page", child).agg(
-        F.array_sort(F.collect_list(F.struct(*member))).alias("members")
-    )
-    children = F.array_sort(F.collect_list(F.struct(F.col(child), F.col("members"))))
-    return per_child.groupBy(parent, "page").agg(
-        F.count(F.lit(1)).alias("n_children"),
-        F.sum(F.size("members")).alias("n_members"),
-        children.alias("children"),
-    )
+    rows = df.select(parent, child, *member)
+    order = [F.col(c) for c in [child, *member]]
+    numbered = running_total(rows, [parent], order, total="member_no").withColumnRenamed("group_total", "n_members")
+    children = rows.select(parent, child).distinct().groupBy(parent).agg(F.count(F.lit(1)).alias("n_children"))
+    return join_summary(numbered, children, [parent])
 
 
 def shared_children(df: DataFrame, parent: str, child: Sequence[str]) -> DataFrame:
@@ -109,27 +81,22 @@ def _all_stars(edges: DataFrame) -> bool:
     return nodes.filter("_ups > 1 or (_ups = 1 and _down = 1)").isEmpty()
 
 
-def linked_groups(df: DataFrame, member: str, via: str, max_rounds: int = 50) -> DataFrame:
+def linked_groups(df: DataFrame, member: str, via: str) -> DataFrame:
     """Member, component (its least member) under links through shared ``via`` values.
 
     Connected components by alternating large-star and small-star steps
     (Kiveris et al., "Connected Components in MapReduce and Beyond", 2014): a
     logarithmic number of rounds, where passing on the least label would take as
     many as the longest chain. Edges are written to a table after each step; few
-    edges, by count, take both steps at once with plain joins. Running out of
-    rounds is an error, never a partial answer.
+    edges, by count, take both steps at once with plain joins. The steps go on
+    until every node hangs on the top of its component.
     """
     edges = store(_links(df, member, via))
-    for _ in range(max_rounds):
-        if _all_stars(edges):
-            break
+    while not _all_stars(edges):
         if edges.count() <= joins.BROADCAST_ROWS:
             edges = store(_small_star(_large_star(edges, join_null_safe), join_null_safe))
         else:
             edges = store(_small_star(store(_large_star(edges, join_summary)), join_summary))
-    else:
-        raise RuntimeError(f"links still moving after {max_rounds} rounds")
-
     members = df.select(F.col(member).alias("a")).dropna().distinct()
     return members.join(edges, "a", "left").select(
         F.col("a").alias(member), F.coalesce("b", "a").alias("component")
@@ -142,31 +109,23 @@ def group_split(
     names: Sequence[str] = SPLIT_NAMES,
     shares: Sequence[int] = SPLIT_SHARES,
 ) -> DataFrame:
-    """Adds ``bucket`` and ``split`` from the hash of the group key; rows stay where they are."""
+    """Adds ``bucket`` and ``split`` from the hash of the group key; rows stay where they are.
+
+    Rows with a null key are one group and share a split.
+    """
     bucket = hash_bucket(key, sum(shares))
     return df.withColumn("bucket", bucket).withColumn("split", split_by_bucket(F.col("bucket"), names, shares))
 
 
-def split_leakage(
-    df: DataFrame, group: str, split: str = "split", names: Sequence[str] = SPLIT_NAMES
-) -> DataFrame:
-    """Groups whose rows fall in several splits, with those splits.
+def split_leakage(df: DataFrame, group: str, split: str = "split") -> DataFrame:
+    """Group, split, n_rows, n_splits: a row for each split of every group that is in several.
 
-    The splits seen are kept as bits of one number per group, which adds up in
-    the map tasks whatever the size of the group.
+    Any split names will do, and a null split is one of them. Rows are added up by group and split in the
+    map tasks, so a group of any size costs a row for each of its splits.
     """
-    bit = None
-    for i, name in enumerate(names):
-        here = F.col(split) == name
-        bit = F.when(here, 1 << i) if bit is None else bit.when(here, 1 << i)
-    listed = F.concat_ws(",", *[F.when(F.col("_seen").bitwiseAND(1 << i) != 0, name) for i, name in enumerate(names)])
-    return (
-        df.filter(F.col(group).isNotNull())
-        .groupBy(group)
-        .agg(F.bit_or(bit.cast("int")).alias("_seen"), F.count(F.lit(1)).alias("n_rows"))
-        .select(group, "n_rows", F.bit_count("_seen").cast("int").alias("n_splits"), listed.alias("splits"))
-        .filter(F.col("n_splits") > 1)
-    )
+    counted = df.filter(F.col(group).isNotNull()).groupBy(group, split).agg(F.count(F.lit(1)).alias("n_rows"))
+    n_splits = F.count(F.lit(1)).over(Window.partitionBy(group))
+    return counted.withColumn("n_splits", n_splits).filter(F.col("n_splits") > 1)
 
 
 def capped_sample(df: DataFrame, label: str, n: int, order: Sequence[str] = ("oid", "path")) -> DataFrame:
@@ -187,10 +146,13 @@ def stratified_split(
     are neighbours. Counts by the first three digits of the hash tell in which of
     4,096 slices of a class each cut falls. Rows of other slices are placed
     where they are, without a shuffle; only the slices with a cut are ranked,
-    range by range, as one oid may fill a slice.
+    range by range, as one oid may fill a slice. ``order[0]`` must be a string of hex
+    digits, as hashes are; rows without one come first in their class.
     """
+    if df.schema[order[0]].dataType.simpleString() != "string":
+        raise ValueError(f"{order[0]} must be a string of hex digits")
     whole, uppers = sum(shares), [sum(shares[: i + 1]) for i in range(len(shares))]
-    sliced = df.withColumn("_slice", F.substring(order[0], 1, 3))
+    sliced = df.withColumn("_slice", F.coalesce(F.substring(order[0], 1, 3), F.lit("")))
 
     counts = sliced.groupBy(label, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     of_class = Window.partitionBy(label)

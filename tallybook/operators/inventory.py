@@ -35,9 +35,12 @@ def inventory_rollup(df: DataFrame, keys: Sequence[str], size: str = "size") ->
 
 
 def modality_pivot(df: DataFrame, keys: Sequence[str], column: str, values: Sequence[str]) -> DataFrame:
-    """Rows by ``keys`` with one count column per given value of ``column``."""
-    counted = df.groupBy(*keys).pivot(column, list(values)).agg(F.count(F.lit(1)))
-    return counted.na.fill(0, subset=list(values))
+    """Rows by ``keys`` with one count column per given value of ``column``, and ``other`` for the rest and null."""
+    if "other" in values:
+        raise ValueError("other counts the values that are not listed")
+    counts = [F.count_if(F.col(column) == v).alias(v) for v in values]
+    other = F.count_if(~F.coalesce(F.col(column).isin(list(values)), F.lit(False)))
+    return df.groupBy(*keys).agg(*counts, other.alias("other"))
 
 
 def exact_percentiles(

@@ -28,12 +28,20 @@ def matched_pairs(
     side of a sound manifest. Should the right side repeat a key, its first row
     by ``order`` is the partner and ``n_right`` tells how many there were: the
     output never grows beyond the left side, whatever key is repeated.
+    ``repeated_partners`` lists all right rows of such keys.
     """
     partners = _first_per_key(right, keys, order, keep)
     named = left.select(*keys, *[F.col(c).alias(f"left_{c}") for c in keep])
     return join_summary(named.dropna(subset=list(keys)), partners, keys)
 
 
+def repeated_partners(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """P1, report: all rows whose full key comes several times, with ``n_right``, how often."""
+    full = df.dropna(subset=list(keys))
+    repeated = full.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_right")).filter(F.col("n_right") > 1)
+    return join_summary(full, repeated, keys)
+
+
 def pair_coverage(df: DataFrame, keys: Sequence[str], side: Column, within: Sequence[str] = ()) -> DataFrame:
     """Number of keys found on both sides, on the left only and on the right only.
 

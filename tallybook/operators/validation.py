@@ -47,16 +47,18 @@ def quarantine(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
 def verify_payloads(
     manifest: DataFrame, payloads: DataFrame, key: str = "path", oid: str = "oid", size: str = "size"
 ) -> DataFrame:
-    """M5: key and status (ok, missing, wrong size, wrong hash) of each manifest row.
+    """M5: key and status (ok, missing, no declaration, wrong size, wrong hash) of each manifest row.
 
     ``payloads`` has the key, actual_oid and actual_size; the content itself was
-    hashed where it was read and takes no part in the join.
+    hashed where it was read and takes no part in the join. Only a proven match is
+    ``ok``: a row that declares no hash or no size is ``no declaration``.
     """
-    actual = payloads.select(key, "actual_oid", "actual_size")
+    actual = payloads.select(key, "actual_oid", "actual_size", F.lit(True).alias("_there"))
     status = (
-        F.when(F.col("actual_size").isNull(), "missing")
-        .when(F.col("actual_size") != F.col(size), "wrong size")
-        .when(F.col("actual_oid") != F.col(oid), "wrong hash")
+        F.when(F.col("_there").isNull(), "missing")
+        .when(F.col(oid).isNull() | F.col(size).isNull(), "no declaration")
+        .when(~F.col("actual_size").eqNullSafe(F.col(size)), "wrong size")
+        .when(~F.col("actual_oid").eqNullSafe(F.col(oid)), "wrong hash")
         .otherwise("ok")
     )
     return manifest.select(key, oid, size).join(actual, key, "left").select(key, status.alias("status"))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.functions.paths import parse_path
 from tallybook.operators.validation import quarantine, validate_manifest
 from tallybook.sources.manifests import MANIFEST_SCHEMA, write_manifest
-from tallybook.sources.pointers import misfit_files, scan_pointers
+from tallybook.sources.pointers import binary_files, listed_files, misfit_files, scan_pointers
 
 
 def checked_pointers(scanned: DataFrame) -> DataFrame:
@@ -16,16 +18,26 @@ def checked_pointers(scanned: DataFrame) -> DataFrame:
     return validate_manifest(parse_path(scanned))
 
 
-def build_manifest(spark: SparkSession, root: str, out: str) -> None:
+def build_manifest(
+    spark: SparkSession, root: str, out: str, subdirs: Sequence[str] = (), inventory: DataFrame | None = None
+) -> None:
     """Reads pointers below ``root`` once, writes ``out``/checked, ``out``/manifest and ``out``/quarantine.
 
-    The scan is the dear part (one open per file). Its result is written
-    before it is divided, so the files are not opened a second time for the
-    quarantine. Files too large for a pointer go to the quarantine unread.
+    Every file found is in the manifest or the quarantine. The scan is the dear
+    part (one open per file). Its result is written before it is divided, so the files
+    are not opened a second time for the quarantine. Files too large for a pointer go
+    to the quarantine unread, and so do files that gave no row, which are the empty ones.
+    ``inventory`` (path below the root) is what there should be; without it, what was
+    listed. ``subdirs`` takes a large tree by folders, each to an ``out`` of its own.
     """
-    checked_at = f"{out.rstrip('/')}/checked"
-    checked_pointers(scan_pointers(spark, root)).write.parquet(checked_at)
-    valid, faulty = quarantine(spark.read.parquet(checked_at))
-    write_manifest(valid.select(*MANIFEST_SCHEMA.fieldNames()), f"{out.rstrip('/')}/manifest")
-    misfits = misfit_files(spark, root).select("path", F.lit("not a pointer").alias("reason"))
-    faulty.select("path", "reason").unionByName(misfits).write.parquet(f"{out.rstrip('/')}/quarantine")
+    where = out.rstrip("/")
+    files = binary_files(spark, root, subdirs)
+    checked_pointers(scan_pointers(spark, root, subdirs)).write.parquet(f"{where}/checked")
+    checked = spark.read.parquet(f"{where}/checked")
+    valid, faulty = quarantine(checked)
+    write_manifest(valid.select(*MANIFEST_SCHEMA.fieldNames()), f"{where}/manifest")
+    misfits = misfit_files(spark, root, subdirs).select("path", F.lit("not a pointer").alias("reason"))
+    expected = (listed_files(files, root) if inventory is None else inventory.select("path")).distinct()
+    unread = expected.join(checked.select("path").unionByName(misfits.select("path")), "path", "left_anti")
+    unread = unread.withColumn("reason", F.lit("empty or missing"))
+    faulty.select("path", "reason").unionByName(misfits).unionByName(unread).write.parquet(f"{where}/quarantine")

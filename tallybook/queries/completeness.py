@@ -80,9 +80,8 @@ FROM (SELECT unnest(generate_series(0, (SELECT max(doc_id) FROM documents) // 5)
 ANTI JOIN (SELECT doc_id // 5 AS bucket FROM labels) l ON l.bucket = g.bucket""",
 )
 def missing_buckets(t):
-    declared = t.documents.agg((F.floor(F.max("doc_id") / 5) + 1).alias("total"))
-    marked = t.labels.select(F.floor(F.col("doc_id") / 5).alias("bucket"), declared.scalar().alias("total"))
-    return c.missing_shards(marked, "bucket", "total")
+    declared = t.documents.select(F.expr("doc_id div 5 + 1").alias("total"))
+    return c.missing_shards(t.labels.select(F.expr("doc_id div 5").alias("bucket")), "bucket", "total", declared=declared)
 
 
 @query(

@@ -15,28 +15,14 @@ from tallybook.sources.tables import documents_manifest
 @query(
     "G1",
     """
-WITH pages AS (
-  SELECT o_custkey, o_orderpriority, o_orderkey,
-         ceil(count(*) OVER (PARTITION BY o_custkey) / 10000) AS n_pages,
-         CAST('0x' || substr(sha256(o_orderpriority || '|' || o_orderkey), 1, 8) AS BIGINT) % 1073741824 AS h
-  FROM orders),
-placed AS (
-  SELECT o_custkey, CASE WHEN n_pages = 1 THEN 0 ELSE CAST(h % n_pages AS INTEGER) END AS page,
-         o_orderpriority, o_orderkey FROM pages),
-inner_level AS (
-  SELECT o_custkey, page, o_orderpriority, count(*) AS n, string_agg(o_orderkey, ',' ORDER BY o_orderkey) AS ids
-  FROM placed GROUP BY o_custkey, page, o_orderpriority)
-SELECT o_custkey, page, count(*) AS n_children, CAST(sum(n) AS BIGINT) AS n_members,
-       string_agg(o_orderpriority || ':' || ids, ';' ORDER BY o_orderpriority) AS listing
-FROM inner_level GROUP BY o_custkey, page""",
+WITH children AS (SELECT o_custkey, count(DISTINCT o_orderpriority) AS n_children FROM orders GROUP BY o_custkey)
+SELECT o_custkey, o_orderpriority, o_orderkey, n_children,
+       row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, o_orderkey) AS member_no,
+       count(*) OVER (PARTITION BY o_custkey) AS n_members
+FROM orders JOIN children USING (o_custkey)""",
 )
 def customer_orders(t):
-    nested = g.entity_hierarchy(t.orders, "o_custkey", "o_orderpriority", ["o_orderkey"])
-    listing = F.expr(
-        "array_join(transform(children, c -> concat(c.o_orderpriority, ':', "
-        "array_join(transform(c.members, m -> cast(m.o_orderkey as string)), ','))), ';')"
-    )
-    return nested.select("o_custkey", "page", "n_children", "n_members", listing.alias("listing"))
+    return g.entity_hierarchy(t.orders, "o_custkey", "o_orderpriority", ["o_orderkey"])
 
 
 @query(
@@ -109,10 +95,8 @@ def doc_split(t):
     f"""
 WITH {DOCS}, hashed AS (SELECT *, {BUCKET.format(key='doc_id')} AS bucket FROM docs),
 placed AS (SELECT oid, {SPLIT} AS split FROM hashed),
-seen AS (SELECT oid, split, count(*) AS n FROM placed GROUP BY oid, split)
-SELECT oid, CAST(sum(n) AS BIGINT) AS n_rows, CAST(count(*) AS INTEGER) AS n_splits,
-       string_agg(split, ',' ORDER BY CASE split WHEN 'train' THEN 0 WHEN 'val' THEN 1 ELSE 2 END) AS splits
-FROM seen GROUP BY oid HAVING count(*) > 1""",
+seen AS (SELECT oid, split, count(*) AS n_rows, count(*) OVER (PARTITION BY oid) AS n_splits FROM placed GROUP BY oid, split)
+SELECT * FROM seen WHERE n_splits > 1""",
 )
 def split_leakage(t):
     docs = documents_manifest(t.documents)
@@ -143,9 +127,29 @@ SELECT (SELECT count(DISTINCT via) FROM lines) AS n_groups, (SELECT count(*) FRO
 )
 def leak_free_check(t):
     lines = _lines(t.documents)
-    placed = leak_free_split(lines, "doc_id", "via").select("via", "split")
-    leaking = g.split_leakage(placed, "via").agg(F.count(F.lit(1)))
-    return placed.agg(F.countDistinct("via").alias("n_groups")).withColumn("n_leaking", leaking.scalar())
+    placed = leak_free_split(lines, "doc_id", "via").filter("via IS NOT NULL")
+    splits = placed.select("via", "split").distinct().groupBy("via").agg(F.count(F.lit(1)).alias("n_splits"))
+    return splits.agg(F.count(F.lit(1)).alias("n_groups"), F.count_if(F.col("n_splits") > 1).alias("n_leaking"))
+
+
+# What the split by component really gives: one large component can hold most documents.
+@query(
+    "G4",
+    f"""
+WITH RECURSIVE {SQL_COMPONENTS},
+hashed AS (SELECT doc_id, component, {BUCKET.format(key='component')} AS bucket FROM components),
+placed AS (SELECT component, {SPLIT} AS split, count(*) AS n FROM hashed GROUP BY component, bucket)
+SELECT split, count(*) AS n_components, CAST(sum(n) AS BIGINT) AS n_docs, max(n) AS largest_component,
+       round(sum(n) / (SELECT count(*) FROM components), 8) AS share
+FROM placed GROUP BY split""",
+)
+def reached_shares(t):
+    split = g.group_split(g.linked_groups(_lines(t.documents), "doc_id", "via"), F.col("component").cast("string"))
+    sizes = split.groupBy("split", "component").agg(F.count(F.lit(1)).alias("n"))
+    reached = sizes.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_components"), F.sum("n").alias("n_docs"), F.max("n").alias("largest_component")
+    )
+    return reached.withColumn("share", F.round(F.col("n_docs") / t.documents.agg(F.count(F.lit(1))).scalar(), 8))
 
 
 @query(

@@ -38,7 +38,8 @@ def inventory_rollup(t):
     """
 SELECT user_id, count(*) FILTER (event_type = 'click') AS click, count(*) FILTER (event_type = 'error') AS error,
        count(*) FILTER (event_type = 'purchase') AS purchase, count(*) FILTER (event_type = 'signup') AS signup,
-       count(*) FILTER (event_type = 'view') AS view
+       count(*) FILTER (event_type = 'view') AS view,
+       count(*) FILTER (event_type IS NULL OR event_type NOT IN ('click', 'error', 'purchase', 'signup', 'view')) AS other
 FROM events GROUP BY user_id""",
 )
 def event_pivot(t):

@@ -40,6 +40,17 @@ def turn_pairs(t):
     return _pairs(t, ["oid", "size"])
 
 
+# Answers keyed by conversation alone: most conversations have several.
+@query(
+    "P1",
+    f"""
+WITH {SQL_TURNS}, numbered AS (SELECT conv_id, turn, count(*) OVER (PARTITION BY conv_id) AS n_right FROM answered)
+SELECT * FROM numbered WHERE n_right > 1""",
+)
+def repeated_answers(t):
+    return p.repeated_partners(_turns(t, "assistant", 1).select("conv_id", "turn"), ["conv_id"])
+
+
 @query(
     "P2",
     f"""

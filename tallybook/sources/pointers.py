@@ -7,7 +7,9 @@ small the whole-text source spends several times as long on each.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,12 +21,18 @@ LINE_STARTS = {"version": "version ", "oid": "oid sha256:", "size": "size "}
 POINTER_MAX_BYTES = 1024
 
 
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
 def relative_path(file_path: Column, root: str) -> Column:
-    """File path below ``root``; the scheme in front of the root is ignored."""
-    bare = root.split("://", 1)[-1].rstrip("/")
-    bare = bare.removeprefix("file:")
-    at = F.instr(file_path, F.lit(bare + "/"))
-    return F.substring(file_path, at + len(bare) + 1, F.length(file_path))
+    """File path below ``root``, whose scheme is ignored; a path that does not start with the root is an error."""
+    session = SparkSession.active()
+    given = session._jvm.org.apache.hadoop.fs.Path(root)
+    whole = given.getFileSystem(session._jsc.hadoopConfiguration()).makeQualified(given).toString()
+    start = re.sub(SCHEME, "", whole).rstrip("/") + "/"
+    plain = F.regexp_replace(file_path, SCHEME, "")
+    outside = F.raise_error(F.concat(F.lit(f"not below {start}: "), plain))
+    return F.when(F.startswith(plain, F.lit(start)), F.substring(plain, F.lit(len(start) + 1), F.length(plain))).otherwise(outside)
 
 
 def pointer_files(files: DataFrame, root: str) -> DataFrame:
@@ -68,17 +76,30 @@ def scan_pointers(spark: SparkSession, root: str, subdirs: Sequence[str] = ()) -
     batches: ``subdirs`` limits the listing to some folders below the root while
     paths stay relative to the root. Files too large to be pointers are dropped
     unread; ``misfit_files`` reports them. No file source of Spark gives a row
-    for an empty file: such a file shows only as a missing ordinal.
+    for an empty file: ``listed_files`` has its name.
     """
+    return read_pointer(pointer_files(binary_files(spark, root, subdirs), root.rstrip("/")))
+
+
+def binary_files(spark: SparkSession, root: str, subdirs: Sequence[str] = ()) -> DataFrame:
+    """The files below ``root``, or below some folders of it, in the binary file source."""
     base = root.rstrip("/")
     where = [f"{base}/{sub}" for sub in subdirs] or [base]
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(where)
-    return read_pointer(pointer_files(files, base))
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(where)
+
+
+def listed_files(files: DataFrame, root: str) -> DataFrame:
+    """path of every file the source has listed, the empty ones too.
+
+    The names pass through the driver, which made the list: take large trees by ``subdirs``.
+    """
+    names = [(unquote(name),) for name in files.inputFiles()]
+    return files.sparkSession.createDataFrame(names, "path string").select(relative_path(F.col("path"), root).alias("path"))
 
 
-def misfit_files(spark: SparkSession, root: str) -> DataFrame:
+def misfit_files(spark: SparkSession, root: str, subdirs: Sequence[str] = ()) -> DataFrame:
     """path, file_size of files too large for a pointer; content is not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root.rstrip("/"))
+    files = binary_files(spark, root, subdirs)
     # A filter on ``length`` would be applied file by file, and thousands of files
     # without a row in one task exhaust its stack; metadata is tested in the listing.
     return files.filter(F.col("_metadata.file_size") > POINTER_MAX_BYTES).select(

@@ -68,8 +68,8 @@ def tree(tmp_path):
 def test_each_fault_has_its_reason(spark, tree):
     checked = checked_pointers(scan_pointers(spark, str(tree)))
     found = {r.path: r.reason for r in checked.collect()}
-    # Spark has no row for an empty file.
-    assert found == {path: reason for path, (content, reason) in FAULTS.items() if content}
+    # Spark has no row for an empty file; the build below accounts for it.
+    assert found == {path: reason for path, (content, reason) in FAULTS.items() if len(content)}
 
 
 def test_size_beyond_two_gigabytes_is_kept(spark, tree):
@@ -100,9 +100,24 @@ def test_build_divides_good_from_bad(spark, tree, tmp_path):
     assert good == {p for p, (_, reason) in FAULTS.items() if reason is None}
     bad = {r.path: r.reason for r in spark.read.parquet(f"{out}/quarantine").collect()}
     assert bad["oral_images/benign_lesions/14.jpg"] == "not a pointer"
-    assert set(bad) == {p for p, (content, reason) in FAULTS.items() if reason and content} | {
-        "oral_images/benign_lesions/14.jpg"
-    }
+    assert set(bad) == {p for p, (_, reason) in FAULTS.items() if reason} | {"oral_images/benign_lesions/14.jpg"}
+    assert {p for p, (content, _) in FAULTS.items() if not content} == {p for p, r in bad.items() if r == "empty or missing"}
+
+
+def test_build_by_folder_against_an_inventory(spark, tree, tmp_path):
+    out = str(tmp_path / "out")
+    inventory = spark.createDataFrame([("oral_images/benign_lesions/1.jpg",), ("oral_images/gone.jpg",)], "path string")
+    build_manifest(spark, str(tree), out, subdirs=["oral_images"], inventory=inventory)
+    paths = {r.path for r in spark.read.parquet(f"{out}/checked").collect()}
+    assert paths and all(p.startswith("oral_images/") for p in paths)
+    bad = {r.path: r.reason for r in spark.read.parquet(f"{out}/quarantine").collect()}
+    assert bad["oral_images/gone.jpg"] == "empty or missing" and "oral_images/benign_lesions/1.jpg" not in bad
+
+
+def test_root_that_repeats_in_the_path(spark, tmp_path):
+    root = tmp_path / "data"
+    put(root, f"x{tmp_path}/data/oral_images/benign_lesions/1.jpg", pointer())
+    assert [r.path for r in scan_pointers(spark, str(root)).collect()] == [f"x{tmp_path}/data/oral_images/benign_lesions/1.jpg"]
 
 
 def test_quarantine_loses_no_row(spark, tree):
@@ -131,6 +146,8 @@ def test_payload_states(spark, tmp_path):
     assert {r.path: r.status for r in found.collect()} == {
         "a/ok": "ok", "a/short": "wrong size", "a/other": "wrong hash", "a/gone": "missing"
     }
+    bare = spark.createDataFrame([("a/ok", None, None), ("a/short", oid, None)], "path string, oid string, size bigint")
+    assert {r.status for r in verify_payloads(bare, scan_payloads(spark, str(blobs))).collect()} == {"no declaration"}
 
 
 def test_large_origin_is_cut_over_files(spark, tmp_path, setting):
@@ -151,10 +168,12 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     for i in range(5):
         put(root, f"oral_images/benign_lesions/{i}.jpg", pointer(size=str(i + 1)))
     ingest_new_pointers(spark, str(root), out, state, max_files_per_trigger=2).awaitTermination()
-    assert spark.read.parquet(out).count() == 5
+    assert read_manifest(spark, f"{out}/manifest").count() == 5
     put(root, "oral_images/malignant_lesions/1.jpg", pointer())
     put(root, "oral_images/malignant_lesions/2.jpg", pointer(oid="x"))
+    put(root, "oral_images/malignant_lesions/3.jpg", b"\xff" * 10_000)
     ingest_new_pointers(spark, str(root), out, state).awaitTermination()
-    rows = spark.read.parquet(out).collect()
-    assert len(rows) == 7 and len({r.path for r in rows}) == 7
-    assert [r.reason for r in rows if r.reason] == ["bad oid"]
+    assert len({r.path for r in read_manifest(spark, f"{out}/manifest").collect()}) == 6
+    assert read_manifest(spark, f"{out}/manifest").count() == 6
+    bad = {r.path: r.reason for r in spark.read.parquet(f"{out}/quarantine").collect()}
+    assert bad == {"oral_images/malignant_lesions/2.jpg": "bad oid", "oral_images/malignant_lesions/3.jpg": "not a pointer"}
