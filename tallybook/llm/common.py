@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions.joins import join_null_safe
@@ -21,9 +21,12 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def row_key(id_col: str, text_col: str) -> list[Column]:
-    """Key of a row where ids may repeat: rows equal in both get equal results."""
-    return [F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"), F.octet_length(text_col).alias("_len")]
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def decide(docs: DataFrame, keys: DataFrame, on: Sequence[str], how: str) -> DataFrame:

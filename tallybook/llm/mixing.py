@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions.storage import store
-from tallybook.llm.common import decide
+from tallybook.llm.common import decide, free_name
 
 MOST_LABELLED = 20_000  # labelled documents fitted to, at most, chosen by a hash of their id
 MOST_TOKENS = 4096  # tokens with a weight, at most
@@ -195,7 +195,10 @@ def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], id_col
     """
     drawn = rates(docs, labels, targets, id_col, text_col)
     chance = F.pmod(F.xxhash64("doc_id", "hash", F.lit(17)), F.lit(1 << 20)) / float(1 << 20)
-    drawn = drawn.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), F.col("rate").alias("_rate"), F.floor(F.col("rate") + chance).alias("_times"))
-    keyed = docs.drop("rate", "times").withColumns({"_id": F.col(id_col), "_hash": F.xxhash64(text_col)})
-    joined = decide(keyed, drawn.filter("_times > 0"), ["_id", "_hash"], "inner")
-    return joined.drop("_id", "_hash").withColumnsRenamed({"_rate": "rate", "_times": "times"})
+    plain = docs.drop("rate", "times")
+    key = free_name(plain, "text_hash")
+    drawn = drawn.select(
+        F.col("doc_id").alias(id_col), F.col("hash").alias(key), "rate", F.floor(F.col("rate") + chance).alias("times")
+    )
+    joined = decide(plain.withColumn(key, F.xxhash64(text_col)), drawn.filter("times > 0"), [id_col, key], "inner")
+    return joined.drop(key)

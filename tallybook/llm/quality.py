@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.joins import join_null_safe
 from tallybook.functions.storage import store
-from tallybook.llm.common import decide
+from tallybook.llm.common import decide, free_name
 
 ORDER = 5
 QUANTILE = 0.99  # of held-out trusted documents of a language, at most this share lies below its limit
@@ -198,6 +198,6 @@ def judge(docs: DataFrame, labels: DataFrame, names: Columns = Columns(), quanti
 
 def keep_good(docs: DataFrame, labels: DataFrame, names: Columns = Columns(), quantile: float = QUANTILE) -> DataFrame:
     """The rows of ``docs``, all columns, that ``judge`` keeps."""
-    out = judge(docs, labels, names, quantile).filter("NOT keep").select(F.col("doc_id").alias(names.id), F.col("row_hash").alias("_row_hash"))
-    hashed = docs.withColumn("_row_hash", row_hash(names))
-    return decide(hashed, out.distinct(), [names.id, "_row_hash"], "left_anti").select(*docs.columns)
+    key = free_name(docs, "row_hash")
+    out = judge(docs, labels, names, quantile).filter("NOT keep").select(F.col("doc_id").alias(names.id), F.col("row_hash").alias(key))
+    return decide(docs.withColumn(key, row_hash(names)), out.distinct(), [names.id, key], "left_anti").drop(key)
