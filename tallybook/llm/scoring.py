@@ -27,10 +27,11 @@ from tallybook.functions.storage import store
 from tallybook.llm import mixer
 from tallybook.llm.common import words_of
 
-CHUNK_WORDS = 60_000  # distinct words of a chunk, below 2^16
+CHUNK_WORDS = 200_000  # distinct words of a chunk
 CHUNK_TOKENS = 4_000_000
 OWN_CLASS = 1022  # most frequent words, each a class
 ENDINGS = 512  # classes of the other words
+KINDS = 4096  # more than there are classes
 END, UNKNOWN, FIRST = 0, 1, 2  # classes: end of text, unseen word, first of the words
 AGAIN = -1  # class UNKNOWN too, but the word came before in its text and is not spelled
 SPELLED_BY = (1, 2, 3, 5)  # bytes before that predict the next one of an unseen word
@@ -66,6 +67,16 @@ def chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return plain.mapInArrow(run, CHUNK)
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Non-negative numbers below 2^31: their first bytes, their second ones and so on, compressed."""
+    return zlib.compress(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel().astype(np.int64)
+
+
 class Chunk:
     def __init__(self):
         self.numbers: dict[bytes, int] = {}
@@ -90,14 +101,13 @@ class Chunk:
         n = len(self.numbers)
         trained = np.concatenate(self.trained) if self.trained else np.zeros(0, np.int32)
         ids = np.concatenate(self.ids)
-        wide = n > 1 << 16  # a single text may bring more words
         columns = [
             pa.array([number], pa.int64()),
             pa.array([self.doc_ids], pa.list_(pa.int64())),
             pa.array([self.held], pa.list_(pa.bool_())),
             pa.array([self.bytes], pa.list_(pa.int64())),
             pa.array([self.sizes], pa.list_(pa.int32())),
-            pa.array([ids.astype(np.int32 if wide else np.uint16).tobytes()], pa.binary()),
+            pa.array([_packed(ids)], pa.binary()),
             pa.array([b"\n".join(self.numbers)], pa.binary()).cast(pa.string()),
             pa.array([np.bincount(trained, minlength=n).astype(np.int32)], pa.list_(pa.int32())),
         ]
@@ -139,18 +149,21 @@ def _spelling(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return raw, np.stack(contexts), np.array([len(w) + 1 for w in words])
 
 
-CODED = "doc_id bigint, held_out boolean, n_bytes bigint, n_tokens bigint, n_known bigint, base double, within double, classes binary, learned binary, spelled binary"
+CODED = "doc_id bigint, held_out boolean, n_bytes bigint, n_tokens bigint, n_known bigint, base double, within double, classes binary, once binary, spelled binary"
 
 
 def code_texts(prepared: DataFrame, counts: DataFrame, totals: dict[int, int], tokens: int, words: int, texts: int) -> DataFrame:
     """Each text with its base score, the score of its words within their classes, and its classes.
 
-    ``learned`` has the classes to train on, where words seen once stand for unseen ones, and is empty for held-out texts.
+    ``once`` has the places of words seen once in training, which stand for unseen ones there; it is empty for held-out texts.
+    A chunk's own words stay behind: the join returns their counts, and the words themselves only where unseen.
     """
     listed = prepared.select("chunk", F.posexplode(F.arrays_zip(F.split("words", "\n", -1).alias("w"), F.col("counts").alias("n"))).alias("at", "x"))
     listed = listed.select("chunk", "at", F.col("x.w").alias("word"))
-    known = listed.join(counts, "word").select("chunk", F.struct("at", "c", "class").alias("x"))
-    by_chunk = known.groupBy(F.col("chunk").alias("of")).agg(F.collect_list("x").alias("known"))
+    joined = listed.join(counts, "word", "left")
+    known = F.when(F.col("c").isNotNull(), F.struct((F.col("at").cast("bigint") * KINDS + F.col("class")).alias("at"), "c"))
+    unseen = F.when(F.col("c").isNull(), F.struct("at", "word"))
+    by_chunk = joined.groupBy(F.col("chunk").alias("of")).agg(F.collect_list(known).alias("known"), F.collect_list(unseen).alias("unseen"))
     whole = np.ones(FIRST + OWN_CLASS + ENDINGS)
     for kind, total in totals.items():
         whole[kind] = max(total, 1)
@@ -158,33 +171,33 @@ def code_texts(prepared: DataFrame, counts: DataFrame, totals: dict[int, int], t
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
-        names = row["words"].encode().split(b"\n")
-        c, kind = np.zeros(len(names), np.int64), np.full(len(names), UNKNOWN, np.int16)
-        if len(right):
-            found = right.column("known").combine_chunks().flatten()
-            at = found.field("at").to_numpy()
-            c[at], kind[at] = found.field("c").to_numpy(), found.field("class").to_numpy()
+        found = right.column("known").combine_chunks().flatten()
+        names = {x["at"]: x["word"].encode() for x in right.column("unseen")[0].as_py()}
+        size = len(found) + len(names)
+        c, kind = np.zeros(size, np.int64), np.full(size, UNKNOWN, np.int16)
+        at, of = np.divmod(found.field("at").to_numpy(), KINDS)
+        c[at], kind[at] = found.field("c").to_numpy(), of
         base = np.log10(c + 1) - floor
         within = np.where(c > 0, np.log10(np.maximum(c, 1) / whole[kind]), 0)
-        ids = np.frombuffer(row["ids"], np.int32 if len(names) > 1 << 16 else np.uint16).astype(np.int64)
+        ids = _unpacked(row["ids"])
         out, begin = [], 0
         for key, held, n_bytes, size in zip(row["doc_ids"], row["held"], row["bytes"], row["sizes"]):
             own = ids[begin : begin + size]
             begin += size
             classes = kind[own]
-            once = np.where(c[own] == 1, np.int16(UNKNOWN), classes)
+            once = np.flatnonzero(c[own] == 1).astype(np.int32)
             unknown = np.flatnonzero(classes == UNKNOWN)
             again, gained = _repeats(own[unknown].tolist())
             classes[unknown[again]] = AGAIN
             out.append({
                 "doc_id": key, "held_out": held, "n_bytes": n_bytes, "n_tokens": size + 1,
                 "n_known": int((c[own] > 0).sum()) + (texts > 0), "base": float(base[own].sum() + np.log10(texts + 1) - floor),
-                "within": float(within[own].sum() + gained), "classes": classes.tobytes(), "learned": b"" if held else once.tobytes(),
-                "spelled": b" ".join(names[i] for i in own[classes == UNKNOWN]),
+                "within": float(within[own].sum() + gained), "classes": classes.tobytes(), "once": b"" if held else once.tobytes(),
+                "spelled": b" ".join(names[i] for i in own[classes == UNKNOWN].tolist()),
             })
         return pa.Table.from_pylist(out, schema=_schema())
 
-    return prepared.groupBy("chunk").cogroup(by_chunk.groupBy("of")).applyInArrow(run, CODED)
+    return prepared.drop("words", "counts").groupBy("chunk").cogroup(by_chunk.groupBy("of")).applyInArrow(run, CODED)
 
 
 def _repeats(words: list[int]) -> tuple[list[int], float]:
@@ -230,15 +243,18 @@ def train(coded: DataFrame, counts: DataFrame, code: np.ndarray, length: np.ndar
         tables = np.zeros((mixer.N, 1 << mixer.SLOT_BITS, 2), np.int32)
         for batch in batches:
             waiting, size = [], 0
-            for x in [*batch.column("learned"), None]:
-                if x is not None:
-                    waiting.append(np.append(np.frombuffer(x.as_py(), np.int16), END).astype(np.int64))
-                    size += len(waiting[-1])
-                if waiting and (x is None or size >= SLAB):
+            for i in range(batch.num_rows + 1):
+                last = i == batch.num_rows
+                if not last:
+                    learned = np.append(np.frombuffer(batch.column("classes")[i].as_py(), np.int16), END).astype(np.int64)
+                    learned[np.frombuffer(batch.column("once")[i].as_py(), np.int32)] = UNKNOWN
+                    waiting.append(learned)
+                    size += len(learned)
+                if waiting and (last or size >= SLAB):
                     lengths = [len(w) for w in waiting]
                     flat, text = np.concatenate(waiting), np.repeat(np.arange(len(waiting)), lengths)
-                    for i in range(0, len(flat), SLAB):  # contexts begin anew in the middle of a longer text
-                        mixer.count(_events(flat[i : i + SLAB], text[i : i + SLAB], [], code, length), tables)
+                    for k in range(0, len(flat), SLAB):  # contexts begin anew in the middle of a longer text
+                        mixer.count(_events(flat[k : k + SLAB], text[k : k + SLAB], [], code, length), tables)
                     waiting, size = [], 0
         yield from _pieces(tables)
 
@@ -259,7 +275,7 @@ def train(coded: DataFrame, counts: DataFrame, code: np.ndarray, length: np.ndar
         evidence = mixer.logits(total.reshape(-1, 2)).astype(np.float16)
         return pa.table({"piece": table.column("piece").slice(0, 1), "evidence": pa.array([evidence.tobytes()], pa.binary())})
 
-    texts = coded.filter("NOT held_out").select("learned").coalesce(tasks).mapInArrow(of_texts, "piece int, counts binary")
+    texts = coded.filter("NOT held_out").select("classes", "once").coalesce(tasks).mapInArrow(of_texts, "piece int, counts binary")
     words = counts.filter("c = 1").select("word").coalesce(tasks).mapInArrow(of_words, "piece int, counts binary")
     pieces = texts.union(words).groupBy("piece").applyInArrow(add, "piece int, evidence binary")
     evidence = np.zeros((mixer.N << mixer.SLOT_BITS) // PIECE * PIECE, np.float32).reshape(-1, PIECE)
