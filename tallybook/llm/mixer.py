@@ -75,14 +75,17 @@ class Events:
 
     def slots(self, symbol: np.ndarray, node: np.ndarray) -> list[np.ndarray]:
         at = node.astype(np.uint64) * _STEP
-        return [((c[symbol] + at) * _MIX >> np.uint64(64 - SLOT_BITS)).astype(np.int64) for c in self.contexts]
+        return [((c[symbol] + at) * _MIX >> np.uint64(64 - SLOT_BITS)).view(np.int64) for c in self.contexts]
+
+    def taken(self, order: np.ndarray) -> Events:
+        return Events(self.code[order], self.length[order], self.contexts[:, order], self.kind[order], self.text[order])
 
 
 def count(events: Events, tables: np.ndarray) -> None:
     """Adds the events to ``tables`` [N, slots, 2]."""
     symbol, node, way = events.decisions()
     for table, slot in zip(tables, events.slots(symbol, node)):
-        table += np.bincount(2 * slot + way, minlength=2 << SLOT_BITS).reshape(-1, 2).astype(table.dtype)
+        np.add.at(table.reshape(-1), 2 * slot + way, table.dtype.type(1))
 
 
 def logits(tables: np.ndarray) -> np.ndarray:
@@ -94,7 +97,7 @@ class Texts:
     """State of ``n`` texts that are scored at once: weights, last table, and log10 probability so far."""
 
     def __init__(self, n: int):
-        self.weights = np.tile(START, (n * GATES, 1))
+        self.weights = np.repeat(START, n * GATES).reshape(N, -1)
         middle = (np.arange(BINS) - (BINS - 1) / 2) * (16 / (BINS - 1))
         self.hits = np.tile(INERTIA / (1 + np.exp(-middle)), n)
         self.seen = np.full(n * BINS, INERTIA)
@@ -108,27 +111,32 @@ class Texts:
         first = np.flatnonzero(np.r_[True, events.text[1:] != events.text[:-1]])
         sizes = np.diff(np.r_[first, symbols])
         block = (np.arange(symbols) - np.repeat(first, sizes)) // BLOCK
+        order = np.argsort(block, kind="stable")
+        events, block = events.taken(order), block[order]
         symbol, node, way = events.decisions()
-        order = np.argsort(block[symbol], kind="stable")
-        ends = np.cumsum(np.bincount(block[symbol]))
-        inputs = [table[slot][order] for table, slot in zip(evidence, events.slots(symbol, node))]
-        way, text = way[order].astype(np.float32), events.text[symbol][order]
-        gate = text * GATES + 4 * events.kind[symbol][order] + sum((x != 0).astype(np.int64) for x in inputs[1:])
-        begin = 0
+        ends = np.cumsum(np.bincount(block, events.length)).astype(np.int64)
+        inputs = [table[slot] for table, slot in zip(evidence, events.slots(symbol, node))]
+        way, text = way.astype(np.float32), events.text[symbol]
+        gate = (events.text * GATES + 4 * events.kind)[symbol] + sum((x != 0).view(np.int8) for x in inputs[1:])
+        likely, begin = np.empty(len(symbol)), 0
         for end in ends.tolist():
             part = slice(begin, end)
-            x, g, y, t = [i[part] for i in inputs], gate[part], way[part], text[part]
-            chosen = self.weights[g]
-            logit = np.clip(sum(chosen[:, i] * x[i] for i in range(N)), -8, 8)
+            x, g, y = [i[part] for i in inputs], gate[part], way[part]
+            logit = self.weights[0][g] * x[0]
+            for i in range(1, N):
+                logit += self.weights[i][g] * x[i]
+            np.minimum(np.maximum(logit, -8, out=logit), 8, out=logit)
             p = 1 / (1 + np.exp(-logit))
-            cell = t * BINS + np.rint((logit + 8) * ((BINS - 1) / 16)).astype(np.int64)
-            last = np.clip((p + self.hits[cell] / self.seen[cell]) / 2, 1e-6, 1 - 1e-6)
-            self.score += np.bincount(t, np.log10(np.where(y > 0, last, 1 - last)), n)
-            miss = (y - p) * RATE
-            low, high = int(g.min()), int(g.max()) + 1
+            cell = text[part] * BINS + np.rint((logit + 8) * ((BINS - 1) / 16)).astype(np.int64)
+            likely[part] = (p + self.hits[cell] / self.seen[cell]) / 2
+            miss, low, high = (y - p) * RATE, int(g.min()), int(g.max()) + 1
+            g = g - low
             for i in range(N):
-                self.weights[low:high, i] += np.bincount(g - low, miss * x[i], high - low)
+                self.weights[i, low:high] += np.bincount(g, miss * x[i], high - low)
             low, high = int(cell.min()), int(cell.max()) + 1
-            self.hits[low:high] += np.bincount(cell - low, y, high - low)
-            self.seen[low:high] += np.bincount(cell - low, minlength=high - low)
+            cell -= low
+            self.hits[low:high] += np.bincount(cell, y, high - low)
+            self.seen[low:high] += np.bincount(cell, minlength=high - low)
             begin = end
+        likely = np.clip(likely, 1e-6, 1 - 1e-6)
+        self.score += np.bincount(text, np.log10(np.where(way > 0, likely, 1 - likely)), n)
