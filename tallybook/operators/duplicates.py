@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.functions.joins import join_summary
 from tallybook.functions.ordering import first_n, with_runs
 
 
@@ -43,21 +44,15 @@ def dedup_savings(df: DataFrame, group: str, oid: str = "oid", size: str = "size
     )
 
 
-def cross_partition_duplicates(df: DataFrame, partition: str, oid: str = "oid", name: str = "partitions") -> DataFrame:
-    """Oid, n_partitions and their names (comma-joined, sorted) where an oid is in several.
+def cross_partition_duplicates(df: DataFrame, partition: str, oid: str = "oid") -> DataFrame:
+    """Oid, partition and n_partitions, a row for each partition of an oid that is in several.
 
-    Copies inside one partition collapse before the shuffle by oid, so the list
-    kept for an oid is as long as its partitions are many, not its rows.
+    Null is no partition; a null oid is an oid like others. Copies inside one partition collapse before any shuffle
+    by oid, and nothing is listed in one row: an oid in every partition is as many rows.
     """
-    return (
-        df.filter(F.col(partition).isNotNull())
-        .select(oid, F.col(partition).cast("string").alias("_part"))
-        .distinct()
-        .groupBy(oid)
-        .agg(F.count(F.lit(1)).alias("n_partitions"), F.array_sort(F.collect_list("_part")).alias("_parts"))
-        .filter(F.col("n_partitions") > 1)
-        .select(oid, "n_partitions", F.array_join("_parts", ",").alias(name))
-    )
+    held = df.filter(F.col(partition).isNotNull()).select(oid, partition).distinct()
+    several = held.groupBy(oid).agg(F.count(F.lit(1)).alias("n_partitions")).filter("n_partitions > 1")
+    return join_summary(held, several, [oid])
 
 
 def identity_conflicts(df: DataFrame, attribute: str, oid: str = "oid") -> DataFrame:

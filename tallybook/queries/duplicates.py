@@ -45,12 +45,12 @@ def dedup_savings(t):
 @query(
     "D4",
     f"""
-WITH {DOCS}
-SELECT oid, count(DISTINCT source) AS n_partitions, string_agg(DISTINCT source, ',' ORDER BY source) AS sources
-FROM docs GROUP BY oid HAVING count(DISTINCT source) > 1""",
+WITH {DOCS}, held AS (SELECT DISTINCT oid, source FROM docs WHERE source IS NOT NULL),
+several AS (SELECT oid, count(*) AS n_partitions FROM held GROUP BY oid HAVING count(*) > 1)
+SELECT h.oid, source, n_partitions FROM held h JOIN several s ON h.oid IS NOT DISTINCT FROM s.oid""",
 )
 def cross_source_dups(t):
-    return d.cross_partition_duplicates(documents_manifest(t.documents), "source", name="sources")
+    return d.cross_partition_duplicates(documents_manifest(t.documents), "source")
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallybook.functions.joins import join_summary
 from tallybook.operators import inventory as i
 from tallybook.queries.registry import DOCS, query
 from tallybook.sources.tables import documents_manifest, pages_addresses
@@ -67,6 +68,26 @@ def size_stats_approximate(t):
     return i.size_stats(t.lineitem, ["l_returnflag"], size="l_extendedprice", approximate=True)
 
 
+# Whether the approximate percentiles are within 1/10000 of the wanted rank.
+@query(
+    "I4",
+    """
+SELECT l_returnflag, count(l_extendedprice) AS n, true AS p50_is_near, true AS p95_is_near
+FROM lineitem GROUP BY l_returnflag""",
+)
+def size_stats_approximate_rank(t):
+    lines = t.lineitem.select("l_returnflag", "l_extendedprice")
+    stats = i.size_stats(lines, ["l_returnflag"], size="l_extendedprice", approximate=True)
+    ranked = join_summary(lines, stats.select("l_returnflag", "p50", "p95"), ["l_returnflag"])
+    price, n = F.col("l_extendedprice"), F.count("l_extendedprice")
+
+    def near(name: str, point: float):
+        below, upto = F.count_if(price < F.col(name)), F.count_if(price <= F.col(name))
+        return ((below <= (point + 1e-4) * n + 1) & (upto >= (point - 1e-4) * n - 1)).alias(f"{name}_is_near")
+
+    return ranked.groupBy("l_returnflag").agg(n.alias("n"), near("p50", 0.5), near("p95", 0.95))
+
+
 @query(
     "I4",
     """
@@ -187,6 +208,21 @@ def distinct_estimate(t):
     return i.distinct_estimate(documents_manifest(t.documents), ["lang"])
 
 
+# Whether the estimate is within three times its standard error of the exact count.
+@query(
+    "I11",
+    f"""
+WITH {DOCS} SELECT lang, count(*) AS n_rows, count(DISTINCT oid) AS n_oids, true AS is_near FROM docs GROUP BY lang""",
+)
+def distinct_estimate_error(t):
+    docs = documents_manifest(t.documents).select("lang", "oid")
+    exact = docs.groupBy("lang", "oid").agg(F.count(F.lit(1)).alias("n")).groupBy("lang")
+    exact = exact.agg(F.sum("n").alias("n_rows"), F.count("oid").alias("n_oids"))
+    found = join_summary(exact, i.distinct_estimate(docs, ["lang"], rsd=0.05).drop("n_rows"), ["lang"])
+    is_near = F.abs(F.col("n_oids_estimate") - F.col("n_oids")) <= 3 * 0.05 * F.col("n_oids")
+    return found.select("lang", "n_rows", "n_oids", is_near.alias("is_near"))
+
+
 @query(
     "I12",
     """

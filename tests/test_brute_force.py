@@ -300,3 +300,11 @@ def test_overlap_counts_each_oid_once(spark):
     rows = [("o1", g) for g in "abc"] * 3 + [("o2", "a"), ("o2", "b"), ("o3", "c"), ("o4", None), ("o4", "a")]
     found = {tuple(r) for r in op.origin_overlap(spark.createDataFrame(rows, "oid string, g string"), "g").collect()}
     assert found == {("a", "b", 2), ("a", "c", 1), ("b", "c", 1)}
+
+
+def test_copies_across_partitions_in_long_form(spark):
+    rows = [("hot", f"p{i % 5000}") for i in range(20_000)] + [("one", "p1"), ("one", "p1"), (None, "a"), (None, "b"), ("x", None), ("x", "a")]
+    found = op.cross_partition_duplicates(spark.createDataFrame(rows, "oid string, part string"), "part").collect()
+    expected = {("hot", f"p{i}", 5000) for i in range(5000)} | {(None, "a", 2), (None, "b", 2)}
+    assert {tuple(r) for r in found} == expected and len(found) == len(expected)
+    assert op.cross_partition_duplicates(spark.createDataFrame([], "oid string, part string"), "part").count() == 0
