@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.joins import join_null_safe
 from tallybook.functions.storage import store
-from tallybook.llm import cascade, chat, decontaminate, extract, hnsw, labelled, mixing, quality, scoring, simhash, warc
+from tallybook.llm import (
+    cascade, chat, decontaminate, extract, hnsw, labelled, mixing, quality, rules, scoring, simhash, warc,
+)
 from tallybook.sources.tables import read_table
 
 
@@ -174,6 +176,11 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM part
 """
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's counts, the rules' votes, and whether it is kept by what they are worth together."""
+    return rules.judge(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, LlmQuery] = {
     "op1_lm_scoring": LlmQuery(op1_lm_scoring),
     "op2_nearest_neighbours": LlmQuery(op2_nearest_neighbours),
@@ -185,4 +192,5 @@ QUERIES: dict[str, LlmQuery] = {
     "op8_quality_classifier": LlmQuery(op8_quality_classifier),
     "op9_chat_formatting": LlmQuery(op9_chat_formatting, OP9_SQL),
     "op10_url_filters": LlmQuery(op10_url_filters, OP10_SQL),
+    "op13_quality_rules": LlmQuery(op13_quality_rules),
 }
