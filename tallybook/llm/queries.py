@@ -12,6 +12,7 @@ from tallybook.functions.joins import join_null_safe
 from tallybook.functions.storage import store
 from tallybook.llm import (
     cascade, chat, decontaminate, extract, hnsw, labelled, mixing, quality, rules, scoring, simhash, warc,
+    whitening,
 )
 from tallybook.sources.tables import read_table
 
@@ -176,6 +177,11 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM part
 """
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the four leading components of all distinct vectors."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"), 4)
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's counts, the rules' votes, and whether it is kept by what they are worth together."""
     return rules.judge(read_table(spark, sf_dir, "documents"))
@@ -192,5 +198,6 @@ QUERIES: dict[str, LlmQuery] = {
     "op8_quality_classifier": LlmQuery(op8_quality_classifier),
     "op9_chat_formatting": LlmQuery(op9_chat_formatting, OP9_SQL),
     "op10_url_filters": LlmQuery(op10_url_filters, OP10_SQL),
+    "op12_whitening": LlmQuery(op12_whitening),
     "op13_quality_rules": LlmQuery(op13_quality_rules),
 }
