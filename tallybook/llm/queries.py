@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from tallybook.functions.joins import join_null_safe
 from tallybook.functions.storage import store
 from tallybook.llm import (
-    cascade, chat, decontaminate, extract, hnsw, labelled, mixing, quality, rules, scoring, simhash, warc,
-    whitening,
+    cascade, chat, decontaminate, extract, hnsw, labelled, mixing, quality, rules, scoring, simhash,
+    variants, warc, whitening,
 )
 from tallybook.sources.tables import read_table
 
@@ -177,6 +177,11 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM part
 """
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word of all documents, its near words, its form and its root."""
+    return variants.variants(read_table(spark, sf_dir, "documents"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector on the four leading components of all distinct vectors."""
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"), 4)
@@ -198,6 +203,7 @@ QUERIES: dict[str, LlmQuery] = {
     "op8_quality_classifier": LlmQuery(op8_quality_classifier),
     "op9_chat_formatting": LlmQuery(op9_chat_formatting, OP9_SQL),
     "op10_url_filters": LlmQuery(op10_url_filters, OP10_SQL),
+    "op11_spelling_variants": LlmQuery(op11_spelling_variants),
     "op12_whitening": LlmQuery(op12_whitening),
     "op13_quality_rules": LlmQuery(op13_quality_rules),
 }
