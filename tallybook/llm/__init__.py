@@ -1 +1,8 @@
 """Operations of a training-data pipeline. Nothing outside this subpackage imports it."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with their code, so executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
