@@ -9,8 +9,9 @@ third. Of two near words, the pivots of the one whose prefix ends earlier in
 the order lie in the other's prefix, so every near pair meets at least once. The
 pivots are the disjoint pair of the prefix that fewest words have, by dynamic programming.
 
-An edit moves what follows it by one place at most and says by how much the lengths differ,
-so position and length are part of the key of the join. What meets is verified by the edit distance itself.
+An edit moves what follows it by one place at most and says by how much the lengths differ, and it
+leaves equal all that stands on the other side of the bigram. So position, length and the word's part before or
+behind the bigram are in the key of the join. What meets is verified by the edit distance itself.
 """
 
 from __future__ import annotations
@@ -32,9 +33,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GRAM = 2
 PIVOTS = 2  # one edit, one more than it can destroy
 PREFIX = GRAM * 1 + 1  # any so many bigrams hold two disjoint ones
-# How the other word differs in length, and its bigrams in position, where one edit lies between: replaced,
-# then inserted behind or before the bigram, then deleted behind or before it.
-SHIFTS = ((0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1))
+# Where one edit lies between two words: how the other differs in length, by how much a bigram has moved in it, and what
+# of the two is then equal, all before the bigram or all behind it. Replaced, inserted, deleted; behind, then before.
+SHIFTS = ((0, 0, "head"), (0, 0, "tail"), (1, 0, "head"), (1, 1, "tail"), (-1, 0, "head"), (-1, -1, "tail"))
 MOST_GRAMS = 100_000  # distinct bigrams; the 90 symbols above make at most 8,100
 
 
@@ -112,14 +113,22 @@ def near_words(words: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["word", "gram", "place", "pivot"])
 
     prefixes = store(words.mapInArrow(run, "word string, gram string, place int, pivot boolean"), "grams")
-    index = prefixes.select(F.col("word").alias("other"), "gram", "place", F.char_length("word").alias("length"))
-    moved = F.explode(F.array(*[F.struct(F.lit(a).alias("longer"), F.lit(b).alias("later")) for a, b in SHIFTS]))
-    seeks = prefixes.filter("pivot").select("word", "gram", "place", moved.alias("moved"))
-    seeks = seeks.select(
+    length = F.char_length("word")
+
+    def rest(side: Column) -> Column:
+        head, tail = F.col("word").substr(F.lit(1), F.col("place")), F.col("word").substr(F.col("place") + GRAM + 1, length)
+        return F.xxhash64(side, F.when(side == "head", head).otherwise(tail)).alias("rest")
+
+    sides = F.explode(F.array(F.lit("head"), F.lit("tail"))).alias("side")
+    index = prefixes.select("word", "gram", "place", length.alias("length"), sides)
+    index = index.select(F.col("word").alias("other"), "gram", "place", "length", rest(F.col("side")))
+    names = ("longer", "later", "side")
+    moved = F.explode(F.array(*[F.struct(*[F.lit(x).alias(n) for x, n in zip(shift, names)]) for shift in SHIFTS])).alias("moved")
+    seeks = prefixes.filter("pivot").select("word", "gram", "place", moved).select(
         "word", "gram", (F.col("place") + F.col("moved.later")).alias("place"),
-        (F.char_length("word") + F.col("moved.longer")).alias("length"),
+        (length + F.col("moved.longer")).alias("length"), rest(F.col("moved.side")),
     )
-    met = seeks.join(index, ["gram", "place", "length"]).filter(F.col("word") != F.col("other"))
+    met = seeks.join(index, ["gram", "place", "length", "rest"]).filter(F.col("word") != F.col("other"))
     one_way = met.filter(F.levenshtein("word", "other", 1) == 1).select(
         F.least("word", "other").alias("word"), F.greatest("word", "other").alias("other")
     )
