@@ -43,14 +43,18 @@ from tallybook.operators.inventory import (
     size_stats,
 )
 from tallybook.operators.pairing import matched_pairs, pair_coverage, pair_size_ratio, repeated_partners, unpaired
+from tallybook.operators.snapshots import diff_rows, manifest_diff, write_snapshot
+from tallybook.operators.temporal import asof_join, interval_join
 from tallybook.operators.validation import quarantine, validate, validate_manifest, verify_payloads
 
 __all__ = [
+    "asof_join",
     "capped_sample",
     "class_inventory",
     "class_weights",
     "cross_partition_duplicates",
     "dedup_savings",
+    "diff_rows",
     "distinct_estimate",
     "duplicate_groups",
     "duplicate_runs",
@@ -60,10 +64,12 @@ __all__ = [
     "format_audit",
     "group_split",
     "identity_conflicts",
+    "interval_join",
     "inventory_rollup",
     "label_coverage",
     "largest_k",
     "linked_groups",
+    "manifest_diff",
     "matched_pairs",
     "missing_ordinals",
     "missing_shards",
@@ -89,4 +95,5 @@ __all__ = [
     "validate",
     "validate_manifest",
     "verify_payloads",
+    "write_snapshot",
 ]
