@@ -1,6 +1,7 @@
 from tallybook.functions.hashing import as_key, hash_bucket, split_by_bucket, uniform_key
 from tallybook.functions.joins import join_null_safe, join_summary
 from tallybook.functions.ordering import first_n, running_total, with_runs
+from tallybook.functions.names import free_name, free_names
 from tallybook.functions.paths import PATH_RULES, PathRule, base_name, directory, extension, parse_path
 from tallybook.functions.storage import clear_scratch, scratch_path, shared_dir, store
 
@@ -13,6 +14,8 @@ __all__ = [
     "directory",
     "extension",
     "first_n",
+    "free_name",
+    "free_names",
     "hash_bucket",
     "join_null_safe",
     "join_summary",

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallybook.functions.names import free_names
 from tallybook.functions.storage import store
 
 # A summary is sent to all executors only if it is counted and found this small.
@@ -23,10 +24,11 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     """
     if how not in ("inner", "left", "left_anti", "left_semi"):
         raise ValueError(f"unsupported join type: {how}")
-    marked = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    condition = reduce(lambda a, b: a & b, [left[k].eqNullSafe(marked[f"_right_{k}"]) for k in keys] or [F.lit(True)])
+    names = dict(zip(keys, free_names([*left.columns, *right.columns], *[f"_right_{k}" for k in keys])))
+    marked = right.withColumnsRenamed(names)
+    condition = reduce(lambda a, b: a & b, [left[k].eqNullSafe(marked[names[k]]) for k in keys] or [F.lit(True)])
     joined = left.join(marked, condition, how)
-    return joined.drop(*[f"_right_{k}" for k in keys])
+    return joined.drop(*names.values())
 
 
 def _width(field: T.StructField):

@@ -2,6 +2,8 @@
 
 from tallybook.operators.completeness import (
     missing_ordinals,
+    missing_ranges,
+    missing_shard_ranges,
     missing_shards,
     misrouted,
     ordinal_islands,
@@ -72,6 +74,8 @@ __all__ = [
     "manifest_diff",
     "matched_pairs",
     "missing_ordinals",
+    "missing_ranges",
+    "missing_shard_ranges",
     "missing_shards",
     "misrouted",
     "modality_pivot",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.joins import join_summary
+from tallybook.functions.storage import store
 
 # Ordinals are worked on in blocks of this many neighbours: a task holds one
 # block, and a group of 10^12 ordinals has a million blocks.
@@ -28,6 +29,37 @@ def _present(df: DataFrame, group: Sequence[str], ordinal: str) -> DataFrame:
     )
 
 
+def missing_ranges(df: DataFrame, group: Sequence[str], ordinal: str, bounds: DataFrame | None = None) -> DataFrame:
+    """C1, as ranges: group, first, last, n of each stretch of ordinals not present between the lowest and highest of the group.
+
+    ``bounds`` (group columns, ``lo``, ``hi``) sets other limits, which may lie anywhere. A gap is one row however
+    long it is: two ordinals of 1 and 10^16 give one row. Ordinals are laid in order and cut into ranges; each is
+    compared with the next of its range, and only the first and last of a range meet those of other ranges.
+    """
+    keys = [f"g{i}" for i in range(len(group))]
+    named = [F.col(c).alias(k) for c, k in zip(group, keys)]
+    present = df.filter(F.col(ordinal).isNotNull()).select(*named, F.col(ordinal).cast("bigint").alias("at"))
+    if bounds is not None:
+        limits = bounds.select(*named, F.col("lo").cast("bigint").alias("lo"), F.col("hi").cast("bigint").alias("hi"))
+        limits = store(limits.filter("lo <= hi"), "bounds")
+        # Fences just outside the limits; what they cut off beyond is clipped below.
+        present = present.unionByName(limits.select(*keys, F.explode(F.array(F.col("lo") - 1, F.col("hi") + 1)).alias("at")))
+    ranged = present.distinct().repartitionByRange(*[F.col(c) for c in [*keys, "at"]]).withColumn("range", F.spark_partition_id())
+    inside = Window.partitionBy(*keys, "range").orderBy("at")
+    followed = ranged.withColumns({"next": F.lead("at").over(inside), "before": F.lag("at").over(inside)})
+    at_edge = F.col("next").isNull() | F.col("before").isNull()
+    followed = followed.withColumn("meet", F.when(at_edge, -1).otherwise(F.col("range")))
+    meeting = Window.partitionBy(*keys, "meet").orderBy("at")
+    followed = followed.withColumn("next", F.coalesce("next", F.lead("at").over(meeting)))
+    gaps = followed.select(*keys, (F.col("at") + 1).alias("first"), (F.col("next") - 1).alias("last")).filter("first <= last")
+    if bounds is not None:
+        gaps = join_summary(gaps, limits, keys)
+        gaps = gaps.select(*keys, F.greatest("first", "lo").alias("first"), F.least("last", "hi").alias("last")).filter("first <= last")
+    return gaps.select(
+        *[F.col(k).alias(c) for c, k in zip(group, keys)], "first", "last", (F.col("last") - F.col("first") + 1).alias("n")
+    )
+
+
 def missing_ordinals(
     df: DataFrame,
     group: Sequence[str],
@@ -35,42 +67,21 @@ def missing_ordinals(
     bounds: DataFrame | None = None,
     block: int = BLOCK,
 ) -> DataFrame:
-    """Ordinals not present between the lowest and highest of each group.
+    """Ordinals not present between the lowest and highest of each group, or within ``bounds``; see ``missing_ranges``.
 
-    ``bounds`` (group columns, ``lo``, ``hi``) sets other limits. The wanted
-    range is cut into blocks, each fenced by the ordinals just outside it, and
-    every ordinal is compared with the next one in its block: only ordinals that
-    are missing are ever made, and an empty block is one gap between its fences.
+    One row for each missing ordinal: ask for the ranges where gaps may be very long. A long gap is opened in steps
+    of ``block``, each over new tasks, so no row ever lists more than ``block`` numbers.
     """
-    present = _present(df, group, ordinal)
-    if bounds is None:
-        value = F.col(ordinal).cast("bigint")
-        bounds = df.groupBy(*group).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    step = F.lit(block).cast("bigint")
-    fences = (
-        bounds.withColumn("_blocks", F.sequence(_block("lo", block), _block("hi", block), step))
-        .select(*group, "lo", "hi", F.explode("_blocks").alias("_block"))
-        .withColumn("_from", F.greatest("lo", "_block"))
-        .withColumn("_to", F.least("hi", F.col("_block") + (block - 1)))
-        .select(
-            *group,
-            "_block",
-            "_from",
-            "_to",
-            F.explode(F.array(F.col("_from") - 1, F.col("_to") + 1)).alias(ordinal),
-        )
-    )
-    in_block = Window.partitionBy(*group, "_block")
-    gaps = (
-        present.withColumn("_block", _block(ordinal, block))
-        .unionByName(fences, allowMissingColumns=True)
-        .withColumn("_next", F.lead(ordinal).over(in_block.orderBy(ordinal)))
-        # Rows beyond explicit limits share a block with wanted ones, or have no fences.
-        .withColumn("_a", F.greatest(F.col(ordinal) + 1, F.max("_from").over(in_block)))
-        .withColumn("_b", F.least(F.col("_next") - 1, F.max("_to").over(in_block)))
-        .filter(F.col("_next").isNotNull() & (F.col("_a") <= F.col("_b")))
-    )
-    return gaps.select(*group, F.explode(F.sequence("_a", "_b")).alias(ordinal))
+    gaps = missing_ranges(df, group, ordinal, bounds)
+    names = [F.col(f"`{c}`") for c in group]
+    first, last = F.col("first"), F.col("last")
+    step = block**3
+    while step >= 1:
+        starts = F.sequence(first, last, F.lit(step).cast("bigint")) if step < 1 << 62 else F.array(first)
+        opened = gaps.select(*names, last.alias("end"), F.explode(starts).alias("first"))
+        end = F.when(F.col("end") - F.col("first") < step, F.col("end")).otherwise(F.col("first") + (step - 1)) if step < 1 << 62 else F.col("end")
+        gaps, step = opened.select(*names, "first", end.alias("last")), step // block if step > 1 else 0
+    return gaps.select(*names, F.col("first").alias(ordinal))
 
 
 def ordinal_islands(df: DataFrame, group: Sequence[str], ordinal: str, block: int = BLOCK) -> DataFrame:
@@ -124,8 +135,7 @@ def missing_shards(
     """C4: shards 0..total-1 of which no row exists; ``total`` is the highest declared.
 
     ``declared`` (group columns and ``total``) states the totals apart from the rows, so
-    that a group without any row is missed too. The range is laid out in blocks
-    first, so a group of many shards is spread over tasks before single numbers are made.
+    that a group without any row is missed too.
     """
     total = F.col(total) if isinstance(total, str) else total
     stated = df if declared is None else declared
@@ -134,6 +144,16 @@ def missing_shards(
     return missing_ordinals(df, group, shard, bounds=bounds)
 
 
+def missing_shard_ranges(
+    df: DataFrame, shard: str, total: str | Column, group: Sequence[str] = (), declared: DataFrame | None = None
+) -> DataFrame:
+    """C4, as ranges: group, first, last, n of each stretch of shards without a row; a total of any size is fine."""
+    total = F.col(total) if isinstance(total, str) else total
+    stated = df if declared is None else declared
+    bounds = stated.groupBy(*group).agg((F.max(total).cast("bigint") - 1).alias("hi")).filter(F.col("hi") >= 0)
+    return missing_ranges(df, group, shard, bounds=bounds.withColumn("lo", F.lit(0).cast("bigint")))
+
+
 def shard_fill(df: DataFrame, shard: Sequence[str], stride: int) -> DataFrame:
     """Rows per shard and their share of ``stride``."""
     return df.groupBy(*shard).agg(

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.joins import join_summary
+from tallybook.functions.joins import join_null_safe, join_summary
 from tallybook.functions.ordering import first_n, with_runs
+from tallybook.functions.storage import store
 
 
 def duplicate_groups(df: DataFrame, oid: str = "oid", path: str = "path") -> DataFrame:
@@ -24,7 +25,7 @@ def exact_dedup(df: DataFrame, order: Sequence[str], oid: str = "oid") -> DataFr
     Each map task ships one row per oid at most, so an oid with a third of all
     rows costs no more than any other.
     """
-    return first_n(df, [oid], [F.col(c) for c in order], 1, rank="_rank").drop("_rank")
+    return first_n(df, [oid], [F.col(c) for c in order], 1).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def dedup_savings(df: DataFrame, group: str, oid: str = "oid", size: str = "size") -> DataFrame:
@@ -79,25 +80,17 @@ def duplicate_runs(
 
 
 def origin_overlap(df: DataFrame, group: str, oid: str = "oid") -> DataFrame:
-    """group_a, group_b, n_shared for each two groups that share oids.
+    """group_a, group_b, n_shared for each two groups that share oids; null is no group.
 
-    Oids present in the same groups are counted together before pairs of groups
-    are formed, so the pairing works on the few combinations of groups that
-    occur and not on oids.
+    Oids found in the same groups are counted together: two hashes added up over an oid's groups stand for
+    the combination. Only one oid of each combination is then paired with itself on its
+    groups. Nothing is listed in one row, and no row of the table is ever paired.
     """
-    combinations = (
-        df.filter(F.col(group).isNotNull())
-        .select(oid, group)
-        .distinct()
-        .groupBy(oid)
-        .agg(F.array_sort(F.collect_list(group)).alias("_groups"))
-        .filter(F.size("_groups") > 1)
-        .groupBy("_groups")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    return (
-        combinations.select("_groups", "_n", F.posexplode("_groups").alias("_at", "group_a"))
-        .select("group_a", "_n", F.explode(F.expr("slice(_groups, _at + 2, size(_groups))")).alias("group_b"))
-        .groupBy("group_a", "group_b")
-        .agg(F.sum("_n").alias("n_shared"))
-    )
+    held = df.filter(F.col(group).isNotNull()).select(F.col(oid).alias("oid"), F.col(group).alias("g")).distinct()
+    marks = [F.sum(F.xxhash64(F.lit(seed), "g").cast("decimal(38,0)")).alias(f"h{seed}") for seed in (1, 2)]
+    found = held.groupBy("oid").agg(F.count(F.lit(1)).alias("n"), *marks).filter("n > 1")
+    shown = found.groupBy("n", "h1", "h2").agg(F.min("oid").alias("oid"), F.count(F.lit(1)).alias("n_oids"))
+    rows = store(join_summary(held, shown.select("oid", "n_oids"), ["oid"]), "combinations")
+    other = rows.select("oid", F.col("g").alias("group_b"))
+    pairs = join_null_safe(rows.withColumnRenamed("g", "group_a"), other, ["oid"]).filter("group_a < group_b")
+    return pairs.groupBy("group_a", "group_b").agg(F.sum("n_oids").alias("n_shared"))

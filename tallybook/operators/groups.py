@@ -140,7 +140,7 @@ def stratified_split(
     names: Sequence[str] = SPLIT_NAMES,
     shares: Sequence[int] = SPLIT_SHARES,
 ) -> DataFrame:
-    """Adds ``split`` with each class cut at the floor of the cumulative shares.
+    """Adds ``split`` (in place of a column of that name) with each class cut at the floor of the cumulative shares.
 
     Rows go by content hash (``order`` must break all ties), so copies of one oid
     are neighbours. Counts by the first three digits of the hash tell in which of
@@ -152,6 +152,11 @@ def stratified_split(
     if df.schema[order[0]].dataType.simpleString() != "string":
         raise ValueError(f"{order[0]} must be a string of hex digits")
     whole, uppers = sum(shares), [sum(shares[: i + 1]) for i in range(len(shares))]
+    # The table's own columns step aside under numbered names until the end.
+    own = [c for c in df.columns if c.lower() != "split"]
+    aside = [f"c{i}" for i in range(len(own))]
+    known = dict(zip(own, aside))
+    df, label, order = df.select(*[F.col(f"`{c}`").alias(known[c]) for c in own]), known[label], [known[c] for c in order]
     sliced = df.withColumn("_slice", F.coalesce(F.substring(order[0], 1, 3), F.lit("")))
 
     counts = sliced.groupBy(label, "_slice").agg(F.count(F.lit(1)).alias("_n"))
@@ -203,4 +208,4 @@ def stratified_split(
     )
     ranked = running_total(unsettled, [label, "_slice"], [F.col(c) for c in order], total="_rank")
     decided = ranked.withColumn("split", split_at(F.col("_before") + F.col("_rank"))).select(*columns)
-    return settled.unionByName(decided)
+    return settled.unionByName(decided).withColumnsRenamed(dict(zip(aside, own)))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions.joins import join_null_safe, join_summary
+from tallybook.functions.names import free_names
 from tallybook.functions.ordering import first_n, running_total
 from tallybook.functions.paths import base_name, directory, extension
 
@@ -119,18 +120,17 @@ def size_histogram(df: DataFrame, group: Sequence[str] = (), size: str = "size")
 
 
 def size_outliers(df: DataFrame, group: Sequence[str], size: str = "size", reach: float = 1.5) -> DataFrame:
-    """Rows beyond ``reach`` times the interquartile range, with the two fences.
+    """Rows beyond ``reach`` times the interquartile range, with ``low_fence`` and ``high_fence`` (a name the table has gets an underscore).
 
     The fences are one row per group, so the rows themselves are not shuffled.
     """
+    low, high = free_names(df.columns, "low_fence", "high_fence")
     quartiles = exact_percentiles(df, group, size, {"q1": 0.25, "q3": 0.75})
     span = F.col("q3") - F.col("q1")
     fences = quartiles.select(
-        *group, (F.col("q1") - reach * span).alias("low_fence"), (F.col("q3") + reach * span).alias("high_fence")
-    )
-    return join_summary(df, fences, group).filter(
-        (F.col(size) < F.col("low_fence")) | (F.col(size) > F.col("high_fence"))
+        *group, (F.col("q1") - reach * span).alias(low), (F.col("q3") + reach * span).alias(high)
     )
+    return join_summary(df, fences, group).filter((F.col(size) < F.col(low)) | (F.col(size) > F.col(high)))
 
 
 def largest_k(df: DataFrame, group: Sequence[str], k: int, size: str = "size", path: str = "path") -> DataFrame:

@@ -34,6 +34,19 @@ def missing_lines(t):
     return c.missing_ordinals(t.lineitem, ["l_orderkey"], "l_linenumber")
 
 
+@query(
+    "C1",
+    """
+WITH present AS (
+  SELECT doc_id FROM labels UNION SELECT min(doc_id) - 1 FROM documents UNION SELECT max(doc_id) + 1 FROM documents),
+gaps AS (SELECT doc_id + 1 AS first, lead(doc_id) OVER (ORDER BY doc_id) - 1 AS last FROM present)
+SELECT first, last, last - first + 1 AS n FROM gaps WHERE first <= last""",
+)
+def missing_label_ranges(t):
+    bounds = t.documents.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    return c.missing_ranges(t.labels, [], "doc_id", bounds=bounds)
+
+
 @query(
     "C2",
     """
@@ -84,6 +97,20 @@ def missing_buckets(t):
     return c.missing_shards(t.labels.select(F.expr("doc_id div 5").alias("bucket")), "bucket", "total", declared=declared)
 
 
+@query(
+    "C4",
+    """
+WITH present AS (
+  SELECT doc_id // 5 AS bucket FROM labels UNION SELECT -1 UNION SELECT max(doc_id) // 5 + 1 FROM documents),
+gaps AS (SELECT bucket + 1 AS first, lead(bucket) OVER (ORDER BY bucket) - 1 AS last FROM present)
+SELECT first, last, last - first + 1 AS n FROM gaps WHERE first <= last""",
+)
+def missing_bucket_ranges(t):
+    declared = t.documents.select(F.expr("doc_id div 5 + 1").alias("total"))
+    buckets = t.labels.select(F.expr("doc_id div 5").alias("bucket"))
+    return c.missing_shard_ranges(buckets, "bucket", "total", declared=declared)
+
+
 @query(
     "C5",
     """
