@@ -2,10 +2,13 @@
 
 Documents belong to domains softly: a naive Bayes classifier, fitted to a table of
 labels, gives each document a probability for each domain. Rates r >= 0 are then
-fitted by projected gradient steps so that the expected tokens of each domain,
-the sum of r x tokens x probability, meet their target. A step needs only the
-domains' totals, one number each, so the rates are never stored between steps: they
-are a fold over the steps' multipliers. DataFrame functions alone.
+fitted by projected gradient steps on a least-squares sum so that the expected tokens of each domain,
+the sum of r x tokens x probability, meet their target. The gradient of a document's rate is its probabilities times one
+multiplier for each domain. So gradients add up in the multipliers, and the rates are at any time the projection
+max(0, 1 - probabilities x multipliers), in no need of being stored: a pass over the table gives the few sums that the next
+step needs. DataFrame functions alone.
+
+Every token counts, by the hash it falls under. The classifier is a table of BUCKETS rows, whatever the corpus.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,12 +25,12 @@ from tallybook.functions.storage import store
 from tallybook.llm.common import decide, free_name
 
 MOST_LABELLED = 20_000  # labelled documents fitted to, at most, chosen by a hash of their id
-MOST_TOKENS = 4096  # tokens with a weight, at most
-LEAST_TELL = 10.0  # a token's squared surprise, over the domains, beyond chance
-TEMPERATURES = (1.0, 2.0, 4.0, 8.0, 16.0, 32.0)
-ROUNDS = 40  # gradient steps, at most
-CLOSE = 1e-6  # of all tokens; steps end when every domain is this near its target
-MARK = "\n"  # no token; stands for the document itself
+BUCKETS = 1 << 16  # tokens share weights by their hash
+SHRUNK = 50.0  # a token's squared surprise, over the domains, at which it has a quarter of its weight
+TEMPERATURES = tuple(2.0**k for k in range(-2, 8))
+CLOSE = 1e-7  # of all tokens; steps end when every domain is this near its target
+CHANGE = 1e-9  # what the squares of changed rates count against those of missed targets
+SHORTER = tuple(0.5**k for k in range(1, 25))  # lengths tried where a step of length 1 goes too far
 
 # Domains by the labels table: what quality and toxic say.
 DOMAINS = ("clean", "toxic", "low")
@@ -39,28 +43,35 @@ def domain_of(quality: str = "quality", toxic: str = "toxic") -> Column:
     return F.when(bad & F.col(quality).isNotNull(), "toxic").when(low & ~bad, "low").when(~low & ~bad, "clean")
 
 
-def _tokens(text: Column) -> Column:
-    """Tokens between white space, as they are; none for null."""
-    return F.filter(F.split(F.coalesce(text.cast("string"), F.lit("")), r"[\x20\x09-\x0D]+"), lambda t: t != "")
-
-
 def _sum(parts: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a + b, parts)
 
 
+def _buckets(rows: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
+    """keys, n_tokens, at, bucket: a row for each distinct token between white space, and one of bucket -1 without any.
+
+    Each text has one row at 0.
+    """
+    parts = rows.select(*keys, F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), r"[\x20\x09-\x0D]+").alias("parts"))
+    counted = F.size(F.array_remove("parts", "")).cast("bigint").alias("n_tokens")
+    tokens = parts.select(*keys, counted, F.posexplode(F.array_distinct("parts")).alias("at", "token"))
+    bucket = F.when(F.col("token") == "", -1).otherwise(F.pmod(F.xxhash64("token"), F.lit(BUCKETS)))
+    return tokens.select(*keys, "n_tokens", "at", bucket.cast("int").alias("bucket"))
+
+
 class Classifier:
-    """Token weights (token, one column w0, w1, .. for each domain), prior logarithms, scores of a text without any token, temperature."""
+    """Weights (bucket, one column w0, w1, .. for each domain), prior logarithms, temperature."""
 
-    def __init__(self, weights: DataFrame, priors: Sequence[float], bare: Sequence[float], domains: Sequence[str]):
-        self.weights, self.priors, self.bare, self.domains, self.temperature = weights, priors, bare, domains, 1.0
+    def __init__(self, weights: DataFrame, priors: Sequence[float], domains: Sequence[str]):
+        self.weights, self.priors, self.domains, self.temperature = weights, priors, domains, 1.0
 
-    def scores(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """keys, copies (of equal keys), s0, s1, .. of rows with ``tokens`` (distinct)."""
-        marked = rows.select(*keys, F.explode(F.concat("tokens", F.array(F.lit(MARK)))).alias("token"))
-        hits = marked.join(F.broadcast(self.weights), "token")
-        copies = F.count_if(F.col("token") == MARK)
-        sums = [(F.sum(f"w{i}") / copies + bare).alias(f"s{i}") for i, bare in enumerate(self.bare)]
-        return hits.groupBy(*keys).agg(copies.alias("copies"), *sums)
+    def scores(self, rows: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
+        """keys, copies (of equal keys), n_tokens and s0, s1, .. of one copy."""
+        # BUCKETS + 1 rows: the size is known beforehand.
+        hits = _buckets(rows, keys, text).join(F.broadcast(self.weights), "bucket")
+        copies = F.count_if(F.col("at") == 0)
+        sums = [(F.sum(f"w{i}") / copies).alias(f"s{i}") for i in range(len(self.domains))]
+        return hits.groupBy(*keys).agg(copies.alias("copies"), F.max("n_tokens").alias("n_tokens"), *sums)
 
     def posteriors(self, temperature: float) -> list[Column]:
         scores = [F.col(f"s{i}") / temperature + prior for i, prior in enumerate(self.priors)]
@@ -70,121 +81,151 @@ class Classifier:
 
 
 def fit(docs: DataFrame, labels: DataFrame, domains: Sequence[str], id_col: str, text_col: str) -> Classifier:
-    """Naive Bayes over the tokens that tell the domains apart best.
+    """Naive Bayes on which tokens a text has, over all tokens of the labelled documents, by bucket.
+
+    A bucket's weight for a domain is the logarithm of how often its tokens occur there against how often they would by chance,
+    shrunk by how surprising that is: the many tokens seen a few times say little, and none is left out.
 
     ``labels`` has (doc_id, domain); ids with several domains, or none of ``domains``, are left out.
-    Half of the labelled documents give the weights, the other half the temperature
-    that makes the probabilities most likely.
+    Half of the labelled documents give the weights, the other half the temperature and priors
+    that make the probabilities most likely: a long text does not become certain by its length alone.
     """
     known = labels.filter(F.col("domain").isin(*domains) & F.col("doc_id").isNotNull()).groupBy("doc_id")
     known = known.agg(F.min("domain").alias("domain"), F.max("domain").alias("other")).filter("domain = other")
     here = docs.select(F.col(id_col).alias("doc_id")).join(known, "doc_id").select("doc_id", "domain").distinct()
     chosen = store(here.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_LABELLED), "chosen")
-    plain = docs.select(F.col(id_col).alias("doc_id"), F.array_distinct(_tokens(F.col(text_col))).alias("tokens"))
     half = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).alias("half")
-    rows = plain.join(F.broadcast(chosen), "doc_id").select("doc_id", F.xxhash64("tokens").alias("hash"), "domain", half, "tokens")
-    rows = store(rows, "labelled")
+    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = plain.join(F.broadcast(chosen), "doc_id").select("doc_id", F.xxhash64("text").alias("hash"), "domain", half, "text")
+    rows = store(rows.distinct(), "labelled")
 
     learned = rows.filter("half = 0")
     counts = {r.domain: r["count"] for r in learned.groupBy("domain").count().collect()}
     n, each = sum(counts.values()), [counts.get(d, 0) for d in domains]
     priors = [math.log((c + 1) / (n + len(domains))) for c in each]
-    seen = learned.select("domain", F.explode("tokens").alias("token")).groupBy("token")
-    seen = seen.agg(F.count(F.lit(1)).alias("df"), *[F.count_if(F.col("domain") == d).alias(f"df{i}") for i, d in enumerate(domains)])
-    expected = [F.col("df") * (c / max(n, 1)) for c in each]
-    tells = _sum([F.pow(F.col(f"df{i}") - e, 2) / (e + 0.5) for i, e in enumerate(expected)])
-    best = seen.filter(tells >= LEAST_TELL).orderBy(tells.desc(), "token").limit(MOST_TOKENS)
-    overall = (F.col("df") + 1) / (n + 2)
-    likely = [((F.col(f"df{i}") + 2 * overall) / (c + 2)).alias(f"q{i}") for i, c in enumerate(each)]
-    best = store(best.select("token", *likely), "likely")
     kinds = range(len(domains))
-    bare = [x or 0.0 for x in best.agg(*[F.sum(F.log1p(-F.col(f"q{i}"))) for i in kinds]).first()]
-    weights = best.select("token", *[F.log(F.col(f"q{i}") / (1 - F.col(f"q{i}"))).alias(f"w{i}") for i in kinds])
-    mark = best.sparkSession.range(1).select(F.lit(MARK).alias("token"), *[F.lit(0.0).alias(f"w{i}") for i in kinds])
-    model = Classifier(store(weights.union(mark), "weights"), priors, bare, domains)
+    seen = _buckets(learned, ["domain"], "text").filter("bucket >= 0").groupBy("bucket")
+    seen = seen.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("domain") == d).alias(f"n{i}") for i, d in enumerate(domains)])
+    all_buckets = rows.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
+    filled = all_buckets.join(seen, "bucket", "left").na.fill(0)
+    chance = [F.col("n") * (c / max(n, 1)) for c in each]
+    surprise = _sum([F.pow(F.col(f"n{i}") - e, 2) / (e + 0.5) for i, e in enumerate(chance)])
+    trust = F.pow(surprise / (surprise + SHRUNK), 2)
+    weights = [(trust * F.log((F.col(f"n{i}") + 1) / (e + 1))).alias(f"w{i}") for i, e in enumerate(chance)]
+    none = rows.sparkSession.range(1).select(F.lit(-1).alias("bucket"), *[F.lit(0.0).alias(f"w{i}") for i in kinds])
+    model = Classifier(store(filled.select("bucket", *weights).union(none), "weights"), priors, domains)
+
+    # MOST_LABELLED rows of a few numbers at most.
+    tried = model.scores(rows.filter("half = 1"), ["doc_id", "hash", "domain"], "text").collect()
+    if tried:
+        scores = np.array([[r[f"s{i}"] for i in kinds] for r in tried])
+        true = np.array([domains.index(r.domain) for r in tried])
+        model.temperature, model.priors = calibrate(scores, true, priors)
+    return model
+
 
-    tried = store(model.scores(rows.filter("half = 1"), ["doc_id", "hash", "domain"]), "tried")
-    losses = []
+def calibrate(scores: np.ndarray, true: np.ndarray, priors: Sequence[float]) -> tuple[float, list[float]]:
+    """The temperature, and the prior logarithms that go with it, under which the known domains are most likely.
+
+    For each temperature the priors are moved until the probabilities of each domain add up to the number of its documents.
+    """
+    best = (math.inf, 1.0, list(priors))
+    known = np.bincount(true, minlength=len(priors))
     for t in TEMPERATURES:
-        right = reduce(lambda c, x: c.when(F.col("domain") == x[0], x[1]), zip(domains, model.posteriors(t)), F)
-        losses.append(F.avg(-F.log(F.greatest(right, F.lit(1e-12)))).alias(f"t{t}"))
-    row = tried.agg(*losses).first()
-    model.temperature = min(zip([x if x is not None else 0.0 for x in row], TEMPERATURES))[1]
-    return model
+        prior = np.array(priors)
+        for _ in range(100):
+            z = scores / t + prior
+            p = np.exp(z - z.max(axis=1, keepdims=True))
+            p /= p.sum(axis=1, keepdims=True)
+            loss = float(-np.log(np.maximum(p[np.arange(len(true)), true], 1e-12)).mean())
+            best = min(best, (loss, t, prior.tolist()))
+            prior = prior + np.log((known + 1) / (p.sum(axis=0) + 1))
+    return best[1], best[2]
 
 
 def rates(
     docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, hash, copies, n_tokens, p_<domain>, .., rate of each distinct (doc_id, text) of ``docs``.
+    """doc_id, hash, copies, n_tokens, p_<domain>, .., rate, residual of each distinct (doc_id, text) of ``docs``.
 
     ``labels`` (doc_id, domain) teaches the domains named by ``targets``, whose values are shares of all tokens of ``docs`` and must add
-    up to 1. Rates start at 1; they are as near to the targets as nonnegative rates come
-    in ROUNDS steps. ``hash`` tells texts of one id apart; ``copies`` counts equal rows, which
-    share one rate. A null or empty text has no tokens and the rate 1 steps leave it. Without labels
+    up to 1. Rates start at 1 and are as near to the targets as nonnegative rates come; ``residual``, one
+    value for all rows, is the largest distance left, as a share of all tokens (near 0 unless targets are out of reach:
+    a domain that no document can be of, or posteriors that are all the same).
+    ``hash`` tells texts of one id apart; ``copies`` counts equal rows, which
+    share one rate. A null or empty text has no tokens and its rate is what the steps make of its prior. Without labels
     all probabilities are the same. An empty table gives an empty result. Other columns are not looked at.
     """
     domains = list(targets)
     if abs(sum(targets.values()) - 1) > 1e-9 or min(targets.values()) < 0:
         raise ValueError("targets must be shares that add up to 1")
     model = fit(docs, labels, domains, id_col, text_col)
-    words = _tokens(F.col(text_col))
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("hash"), F.size(words).cast("bigint").alias("n_tokens"),
-        F.array_distinct(words).alias("tokens"),
-    )
-    scored = model.scores(rows, ["doc_id", "hash", "n_tokens"])
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
+    scored = model.scores(rows, ["doc_id", "hash"], "text")
     shares = [p.alias(f"p{i}") for i, p in enumerate(model.posteriors(model.temperature))]
     table = store(scored.select("doc_id", "hash", "copies", "n_tokens", *shares), "posteriors")
-
-    steps = _descend(table, [targets[d] for d in domains])
+    multipliers, residual = descend(table, [targets[d] for d in domains])
     named = [F.col(f"p{i}").alias(f"p_{d}") for i, d in enumerate(domains)]
-    return table.select("doc_id", "hash", "copies", "n_tokens", *named, _fold(steps, len(domains))["rate"].alias("rate"))
-
-
-def _fold(steps: Sequence[Sequence[float]], n: int) -> Column:
-    """rate, and the point ahead of it where the next slope is taken, after ``steps``.
-
-    A step has a multiplier for each domain and, last, how far to look ahead.
-    """
-    ones = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
-    if not steps:
-        return ones
-    lists = F.array(*[F.array(*[F.lit(float(x)) for x in step]) for step in steps])
+    rate = _rate(multipliers).alias("rate")
+    return table.select("doc_id", "hash", "copies", "n_tokens", *named, rate, F.lit(residual).alias("residual"))
 
-    def move(at: Column, step: Column) -> Column:
-        rate = F.greatest(F.lit(0.0), at["ahead"] - _sum([F.col(f"p{i}") * step[i] for i in range(n)]))
-        return F.struct(rate.alias("rate"), (rate + step[n] * (rate - at["rate"])).alias("ahead"))
 
-    return F.aggregate(lists, ones, move)
+def _rate(multipliers: Sequence[float]) -> Column:
+    return F.greatest(F.lit(0.0), 1.0 - _sum([F.col(f"p{i}") * float(x) for i, x in enumerate(multipliers)]))
 
 
-def _descend(table: DataFrame, shares: Sequence[float]) -> list[list[float]]:
-    """Projected gradient steps on the sum over domains of (total - target)^2 / (total at rate 1).
+def descend(table: DataFrame, shares: Sequence[float]) -> tuple[np.ndarray, float]:
+    """Multipliers at which the rates are nearest to the targets, and the largest distance left, as a share of all tokens.
 
-    Rates are measured in units of their tokens. In these units and with this
-    weighting the curvature is at most 1, as a document's probabilities add up to 1, so
-    steps of length 1 go down; looking ahead along the last move makes them fewer.
+    Minimised is the squared distance of the domains' totals from their targets plus CHANGE times the squared changes of the
+    rates, which makes the answer one. In the multipliers that is a convex function of a few numbers. Its
+    gradient is the missed totals, its curvature the products of probabilities summed over documents with a rate above 0; steps
+    are scaled by it, and taken shorter if they go too far. They end at the targets, or where no step goes down any more.
     """
-    n, tokens = len(shares), F.col("copies") * F.col("n_tokens")
-
-    def totals(steps: Sequence[Sequence[float]]) -> tuple[list[float], list[float]]:
-        folded = table.select(tokens.alias("tokens"), *[f"p{i}" for i in range(n)], _fold(steps, n).alias("at"))
-        sums = [F.sum(F.col("tokens") * F.col(f"at.{which}") * F.col(f"p{i}")) for which in ("rate", "ahead") for i in range(n)]
-        row = [x or 0.0 for x in folded.agg(*sums).first()]
-        return row[:n], row[n:]
-
-    steps: list[list[float]] = []
-    rate, ahead = totals(steps)
-    whole, pace = sum(rate), 1.0
-    scale = [max(x, 1e-9 * whole) for x in rate]
-    targets = [s * whole for s in shares]
-    while whole and len(steps) < ROUNDS and max(abs(x - t) for x, t in zip(rate, targets)) > CLOSE * whole:
-        faster = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
-        steps.append([(x - t) / s for x, t, s in zip(ahead, targets, scale)] + [(pace - 1) / faster])
-        pace = faster
-        rate, ahead = totals(steps)
-    return steps
+    n = len(shares)
+    pairs = [(i, j) for i in range(n) for j in range(i, n)]
+    whole = table.agg(F.sum(F.col("copies") * F.col("n_tokens"))).first()[0]
+    if not whole:
+        return np.zeros(n), 0.0
+    part = F.col("copies") * F.col("n_tokens") / float(whole)
+    targets = np.array(shares)
+
+    def half_squares(multipliers: np.ndarray) -> Column:
+        return F.sum(part * _rate(multipliers) * _rate(multipliers)) / 2
+
+    def look(multipliers: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Half the squares of the rates, totals of the domains, and the matrix over documents with a rate above 0."""
+        at = table.select(part.alias("part"), *[f"p{i}" for i in range(n)], _rate(multipliers).alias("rate"))
+        sums = [F.sum(F.col("part") * F.col("rate") * F.col("rate")) / 2]
+        sums += [F.sum(F.col("part") * F.col("rate") * F.col(f"p{i}")) for i in range(n)]
+        sums += [F.sum(F.when(F.col("rate") > 0, F.col("part") * F.col(f"p{i}") * F.col(f"p{j}")).otherwise(0.0)) for i, j in pairs]
+        row = at.agg(*sums).first()
+        matrix = np.zeros((n, n))
+        for (i, j), x in zip(pairs, row[1 + n :]):
+            matrix[i, j] = matrix[j, i] = x
+        return row[0], np.array(row[1 : 1 + n]), matrix
+
+    at = np.zeros(n)
+    squares, totals, matrix = look(at)
+    unit = CHANGE * float(np.trace(matrix)) / n
+    value = lambda squares, x: squares + float(targets @ x) + unit / 2 * float(x @ x)
+    now = value(squares, at)
+    while np.abs(totals - targets).max() > CLOSE:
+        step = np.linalg.solve(matrix + unit * np.eye(n), totals - targets - unit * at)
+        found = look(at + step)
+        if not value(found[0], at + step) < now:
+            tries = [at + step * length for length in SHORTER]
+            row = table.agg(*[half_squares(x).alias(f"x{i}") for i, x in enumerate(tries)]).first()
+            least, i = min((value(q, x), i) for i, (q, x) in enumerate(zip(row, tries)))
+            if not least < now:
+                break
+            step = step * SHORTER[i]
+            found = look(at + step)
+        moved = value(found[0], at + step)
+        if not moved < now - 1e-14 * abs(now):
+            break
+        at, now, (_, totals, matrix) = at + step, moved, found
+    return at, float(np.abs(totals - targets).max())
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,6 +1,8 @@
 """Operators on documents, against brute force."""
 
+import functools
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -9,7 +11,7 @@ import pytest
 import xxhash
 
 from tallybook.llm import decontaminate, mixing, quality, scoring, simhash
-from tests.llm.data import ROWS, docs, with_clashes
+from tests.llm.data import DOCS, ROWS, docs, with_clashes
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -202,31 +204,100 @@ def test_quality_tells_labels_apart(spark):
     assert share[1] > 0.97 and share[0] < 0.2
 
 
-def test_mixing_against_brute_force(spark):
-    folder = "/root/testdata/sf0.01"
+def brute_posteriors(texts, labels):
+    """Naive Bayes on whole lists: (doc_id -> probabilities of the domains)."""
+    domains, tokens = list(mixing.TARGETS), {i: set(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in texts.items()}
+    hashed = {i: [bucket(w) for w in ws] for i, ws in tokens.items()}
+    known = {i: d for i, d in labels.items() if d is not None and i in texts}
+    learned = [i for i in known if spark_hash(i, 1) % 2 == 0]
+    counts = {d: Counter(b for i in learned if known[i] == d for b in hashed[i]) for d in domains}
+    each = [sum(known[i] == d for i in learned) for d in domains]
+    priors = [math.log((c + 1) / (len(learned) + len(domains))) for c in each]
+
+    @functools.cache
+    def weights(b):
+        seen = [counts[d][b] for d in domains]
+        chance = [sum(seen) * c / max(len(learned), 1) for c in each]
+        surprise = sum((x - e) ** 2 / (e + 0.5) for x, e in zip(seen, chance))
+        return [(surprise / (surprise + mixing.SHRUNK)) ** 2 * math.log((x + 1) / (e + 1)) for x, e in zip(seen, chance)]
+
+    scores = {i: [sum(weights(b)[k] for b in bs) for k in range(len(domains))] for i, bs in hashed.items()}
+
+    def at(i, t, prior):
+        x = [s / t + p for s, p in zip(scores[i], prior)]
+        e = [math.exp(v - max(x)) for v in x]
+        return [v / sum(e) for v in e]
+
+    tried = [i for i in known if spark_hash(i, 1) % 2 == 1]
+    best = (math.inf,)
+    for t in mixing.TEMPERATURES:
+        prior = priors
+        for _ in range(100):
+            p = {i: at(i, t, prior) for i in tried}
+            loss = sum(-math.log(max(p[i][domains.index(known[i])], 1e-12)) for i in tried) / len(tried)
+            best = min(best, (loss, t, prior))
+            seen = [sum(x[k] for x in p.values()) for k in range(len(domains))]
+            prior = [b + math.log((sum(known[i] == d for i in tried) + 1) / (s + 1)) for b, d, s in zip(prior, domains, seen)]
+    return {i: at(i, *best[1:]) for i in texts}
+
+
+def bucket(word):
+    return xxhash.xxh64_intdigest(word.encode(), 42) % mixing.BUCKETS
+
+
+def spark_hash(number, seed):
+    """Spark's xxhash64(number, seed as int): each column's hash is the seed of the next."""
+    first = xxhash.xxh64_intdigest(number.to_bytes(8, "little", signed=True), 42)
+    return xxhash.xxh64_intdigest(seed.to_bytes(4, "little", signed=True), first)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_mixing_against_brute_force(spark, sf):
+    folder = f"/root/testdata/{sf}"
     table = spark.read.parquet(f"{folder}/documents.parquet")
     labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", mixing.domain_of().alias("domain"))
     found = mixing.rates(table, labels, mixing.TARGETS).toPandas()
     p = found[[f"p_{d}" for d in mixing.TARGETS]].to_numpy()
+    expected = brute_posteriors({r.doc_id: r.text for r in table.collect()}, {r.doc_id: r.domain for r in labels.collect()})
+    assert np.abs(p - np.array([expected[i] for i in found.doc_id])).max() < 1e-7
     n = (found.copies * found.n_tokens).to_numpy(float)
-    assert len(found) == table.count() and np.allclose(p.sum(axis=1), 1) and (found.rate >= 0).all()
+    assert len(found) == table.count() and (found.rate >= 0).all()
     reached = (n * found.rate.to_numpy()) @ p / n.sum()
-    assert np.abs(reached - list(mixing.TARGETS.values())).max() < 0.01
-    # the same descent on arrays
-    targets, start = np.array(list(mixing.TARGETS.values())) * n.sum(), n @ p
-    rate = ahead = np.ones(len(n))
-    pace = 1.0
-    for _ in range(mixing.ROUNDS):
-        if np.abs((n * rate) @ p - targets).max() <= mixing.CLOSE * n.sum():
-            break
-        moved = np.maximum(0, ahead - p @ (((n * ahead) @ p - targets) / start))
-        faster = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
-        ahead, rate, pace = moved + (pace - 1) / faster * (moved - rate), moved, faster
-    assert np.allclose(rate, found.rate, atol=1e-6)
+    targets = np.array(list(mixing.TARGETS.values()))
+    assert np.abs(reached - targets).max() == pytest.approx(found.residual.max(), abs=1e-9)
+    # Plain steps of a sure length come no nearer, however many.
+    rate, sure = np.ones(len(n)), np.linalg.pinv((p * n[:, None]).T @ p)
+    for _ in range(3000):
+        rate = np.maximum(0, rate - p @ (sure @ ((n * rate) @ p - targets * n.sum())))
+    assert found.residual.max() <= max(1e-6, np.abs((n * rate) @ p / n.sum() - targets).max())
     truth = found.merge(labels.toPandas(), on="doc_id")
     best = truth[[f"p_{d}" for d in mixing.TARGETS]].to_numpy().argmax(axis=1)
     right = np.array(list(mixing.TARGETS))[best] == truth.domain.to_numpy()
-    assert right.mean() > 0.85
+    assert right.mean() > 0.8
+
+
+def test_mixing_out_of_reach(spark):
+    """One posterior for all: the shares cannot move, and the residual says so."""
+    rows = [(i, "same words", "en", "a", 10) for i in range(6)]
+    labels = spark.createDataFrame([(0, "clean"), (1, "toxic")], "doc_id bigint, domain string")
+    found = mixing.rates(spark.createDataFrame(rows, DOCS), labels, {"clean": 0.9, "toxic": 0.1}).collect()
+    shares = {(r.p_clean, r.p_toxic) for r in found}
+    assert len(shares) == 1 and len({r.residual for r in found}) == 1
+    left = max(abs(found[0].rate * p - t) for p, t in zip(next(iter(shares)), (0.9, 0.1)))
+    assert found[0].residual == pytest.approx(left, abs=1e-6) and left > 0.1
+
+
+def test_mixing_with_rates_at_zero(spark):
+    """Targets that force many rates to 0 are met as well."""
+    rng = np.random.default_rng(2)
+    p = rng.dirichlet([0.3, 0.3, 0.3], 400)
+    rows = [(1, int(rng.integers(1, 50)), *map(float, x)) for x in p]
+    table = spark.createDataFrame(rows, "copies bigint, n_tokens bigint, p0 double, p1 double, p2 double")
+    n = np.array([r[1] for r in rows], float)
+    for shares in ([0.9, 0.08, 0.02], [0.97, 0.02, 0.01], [1 / 3, 1 / 3, 1 / 3], [0.02, 0.03, 0.95]):
+        multipliers, residual = mixing.descend(table, shares)
+        rate = np.maximum(0, 1 - p @ multipliers)
+        assert residual < 1e-6 and np.abs((n * rate) @ p / n.sum() - shares).max() < 1e-6
 
 
 def test_mixing_edge_cases(spark):
