@@ -44,14 +44,15 @@ def fold(events: DataFrame) -> DataFrame:
     events so far of later messages of the conversation, which answered the old
     one. A message all of whose events were taken back is gone. Null texts and
     roles are empty; a message has the role of its last event. Events of equal
-    seq go by kind, text and role; a null seq comes first. Null conv_id is a conversation of its
+    seq go by kind, text and role; a null seq comes first. Events that repeat whole (all of
+    conversation, message, seq, kind, text, role) count once, as a log may deliver an event twice. Null conv_id is a conversation of its
     own, a null message sorts first. Any other kind counts as ``delta``. No events
     give no messages. Other columns are not looked at.
     """
     parts = [F.coalesce(c, F.lit("")).alias(c) for c in ("kind", "text", "role")]
     rows = events.select("conv_id", "message", F.struct(F.col("seq").cast("bigint").alias("seq"), *parts).alias("e"))
     steps = rows.groupBy("conv_id", "message").agg(
-        F.array_sort(F.collect_list("e")).alias("steps"),
+        F.array_sort(F.collect_set("e")).alias("steps"),  # an event delivered twice is one event
         F.max(F.when(F.col("e.kind") == "regenerate", F.col("e.seq"))).alias("anew"),
     )
     before = Window.partitionBy("conv_id").orderBy("message").rowsBetween(Window.unboundedPreceding, -1)
