@@ -22,11 +22,12 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from typing import Any
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.functions.storage import scratch_path, store
@@ -37,15 +38,35 @@ GAP = 1 << 16  # ranges nearer than this are fetched at once
 SPAN = 8 << 20  # of a package, for one task
 FETCH = 8 << 20  # but no more than this at once, unless one record is larger
 
+
+
+class Layout:
+    """A struct format that can be sent to executors."""
+
+    def __init__(self, form: str):
+        self.form, self.size = form, struct.calcsize(form)
+
+    def pack(self, *values: Any) -> bytes:
+        return struct.pack(self.form, *values)
+
+    def unpack(self, raw: bytes) -> tuple:
+        return struct.unpack(self.form, raw)
+
+    def unpack_from(self, raw: bytes, at: int) -> tuple:
+        return struct.unpack_from(self.form, raw, at)
+
+
 # Layouts and marks of the ZIP format.
-LOCAL, LOCAL_MARK = struct.Struct("<4sHHHHHLLLHH"), b"PK\x03\x04"
-CENTRAL, CENTRAL_MARK = struct.Struct("<4sHHHHHHLLLHHHHHLL"), b"PK\x01\x02"
-END, END_MARK = struct.Struct("<4sHHHHLLH"), b"PK\x05\x06"
-END64, END64_MARK = struct.Struct("<4sQHHLLQQQQ"), b"PK\x06\x06"
-LOCATOR, LOCATOR_MARK = struct.Struct("<4sLQL"), b"PK\x06\x07"
+LOCAL, LOCAL_MARK = Layout("<4sHHHHHLLLHH"), b"PK\x03\x04"
+CENTRAL, CENTRAL_MARK = Layout("<4sHHHHHHLLLHHHHHLL"), b"PK\x01\x02"
+END, END_MARK = Layout("<4sHHHHLLH"), b"PK\x05\x06"
+END64, END64_MARK = Layout("<4sQHHLLQQQQ"), b"PK\x06\x06"
+LOCATOR, LOCATOR_MARK = Layout("<4sLQL"), b"PK\x06\x07"
 MAX16, MAX32 = 0xFFFF, 0xFFFFFFFF
 STAMP = "2024-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+EXACT_URL = "X-Exact-URL"  # a header of our own
+URL_SAFE = "%:/?#[]@!$&'()*+,;=~"  # what a URL may hold unescaped, besides letters, digits and -._
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -169,6 +190,10 @@ def _key(urn: str) -> int | None:
     return None if name == "null" else int(name)
 
 
+def _fits_header(url: str) -> bool:
+    return bool(url) and url.isprintable() and url.strip() == url
+
+
 def record(key: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool) -> bytes:
     """One gzip member: a response with its payload, or a revisit without it."""
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
@@ -179,8 +204,10 @@ def record(key: int | None, url: str | None, payload: bytes, digest: str, refers
         "WARC-Payload-Digest": f"sha1:{digest}",
         "Content-Type": "application/http; msgtype=response",
     }
-    if url is not None and url.isprintable() and url.strip() == url and url:
-        head["WARC-Target-URI"] = url
+    if url:
+        head["WARC-Target-URI"] = url if _fits_header(url) else quote(url, safe=URL_SAFE)
+    if url is not None and not _fits_header(url):
+        head[EXACT_URL] = quote(url, safe="")  # as it was, every odd character and percent sign included
     if revisit:
         head |= {"WARC-Profile": REVISIT, "WARC-Refers-To": _urn(refers_to)}
     else:
@@ -208,7 +235,7 @@ def parse(member: bytes) -> dict[str, Any]:
         raise ValueError(f"the payload of {fields['warc-record-id']} is damaged")
     return {
         "page_id": _key(fields["warc-record-id"]),
-        "url": fields.get("warc-target-uri"),
+        "url": unquote(fields[EXACT_URL.lower()]) if EXACT_URL.lower() in fields else fields.get("warc-target-uri"),
         "payload_bytes": length,
         "payload_digest": digest,
         "record_type": fields["warc-type"],
@@ -239,6 +266,12 @@ def with_record_types(pages: DataFrame, id_col: str, url_col: str, html_col: str
     return joined.select("page_id", "url", "html", F.when(revisit, F.col("latest")).alias("refers_to"), revisit.alias("revisit"))
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme of its store, as Spark itself would find it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _places(folder: str) -> tuple[pafs.FileSystem, str]:
     """The store of a folder, and the folder's path in it; a path without a scheme is a shared mount."""
     if folder.startswith("file:"):
@@ -255,10 +288,12 @@ def write_packages(
     The payload is the html in UTF-8; null is empty. Of records with equal payloads of at
     least ``least_bytes`` bytes, the one with the largest page_id is a response and the
     others revisit it; smaller ones are all responses. Rows that repeat the largest id are all responses.
-    A null page_id is smaller than any other. A URL that a header cannot
-    hold (null, empty or with control characters) is left out. No pages: no packages.
+    A null page_id is smaller than any other. A null URL is left out; one that a header cannot
+    hold (empty, with control or other unprintable characters, or blanks at an end) is percent-encoded, and a second
+    header keeps it exactly. No pages: no packages. Repeated rows are records of their own. A folder without a scheme is in the
+    cluster's default store, where Spark's own tables are. Other columns are not looked at.
     """
-    folder = folder or scratch_path(pages.sparkSession, "warc")
+    folder = _qualified(pages.sparkSession, folder or scratch_path(pages.sparkSession, "warc"))
     rows = with_record_types(pages, id_col, url_col, html_col, least_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,7 +337,11 @@ def _packages(rows: Iterator[tuple], files: Any, stem: str, most: int) -> Iterat
 
 
 def read_index(packages: DataFrame) -> DataFrame:
-    """folder, path, at, length of each record, from the packages' directories and indexes."""
+    """folder, path, at, length of each record, from the packages' directories and indexes.
+
+    ``packages`` has folder, path and bytes; a package listed twice is read twice, none gives no rows, and a null path is an
+    error. Other columns are not looked at.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -327,11 +366,14 @@ def read_index(packages: DataFrame) -> DataFrame:
 def read_records(packages: DataFrame, payloads: bool = True) -> DataFrame:
     """page_id, url, payload_bytes, payload_digest, record_type, refers_to and payload (null for revisits) of all records.
 
-    Stretches of SPAN bytes of a package are dealt to tasks; ranges that lie close are fetched at once.
+    Stretches of SPAN bytes of a package are dealt to tasks, as many as there are stretches; ranges that lie close are
+    fetched at once. Records come as often as their package is listed; without packages there are none. A damaged record is an error.
     """
     index = read_index(packages)
     part = F.floor(F.col("at") / SPAN)
-    dealt = index.repartition("path", part).sortWithinPartitions("path", "at")
+    # By number: Spark would judge by the few bytes of the index, not by what they point to.
+    n_bytes = packages.agg(F.sum("bytes")).first()[0] or 0
+    dealt = index.repartition(max(1, -(-n_bytes // SPAN)), "path", part).sortWithinPartitions("path", "at")
     out = pa.schema([
         ("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
         ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary()),

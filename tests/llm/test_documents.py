@@ -273,7 +273,7 @@ def test_mixing_against_brute_force(spark, sf):
     truth = found.merge(labels.toPandas(), on="doc_id")
     best = truth[[f"p_{d}" for d in mixing.TARGETS]].to_numpy().argmax(axis=1)
     right = np.array(list(mixing.TARGETS))[best] == truth.domain.to_numpy()
-    assert right.mean() > 0.8
+    assert right.mean() > (0.85 if sf == "sf0.01" else 0.7)  # sf0.001 has 58 labels, half of them to learn from
 
 
 def test_mixing_out_of_reach(spark):
