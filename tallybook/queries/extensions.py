@@ -1,15 +1,19 @@
-"""X2-X6 on the given tables: streams with event time, snapshots, joins on time."""
+"""X2-X12 on the given tables: streams with event time, snapshots, joins on time, stored summaries, bucketed tables, JSON attributes."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.storage import scratch_path
-from tallybook.operators.duplicates import exact_dedup
+from tallybook.functions.joins import join_summary
+from tallybook.functions.storage import scratch_path, store
+from tallybook.operators import sketches as sk
+from tallybook.operators.duplicates import duplicate_groups, exact_dedup
+from tallybook.operators.sidecars import read_attributes
 from tallybook.operators.snapshots import manifest_diff, write_snapshot
 from tallybook.operators.temporal import asof_join, interval_join
 from tallybook.queries.registry import DOCS, Tables, query
+from tallybook.sources.manifests import write_bucketed
 from tallybook.sources.tables import documents_manifest
 from tallybook.streaming.events import closed_sessions, first_seen, read_slices, run_to_table, write_slices
 
@@ -154,3 +158,112 @@ def overlapping_events(t):
     )
     found = interval_join(spans, spans, ["user_id"], ("ts", "till"), ("ts", "till"), width=30 * 60 * 1_000_000, prefix="other_")
     return found.filter("event_id < other_event_id").select("user_id", "event_id", "other_event_id")
+
+
+def _loads(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Documents as a manifest in two loads, by source."""
+    docs = documents_manifest(t.documents).select("oid", "lang", "source", "size")
+    late = F.coalesce(F.pmod(F.xxhash64("source"), F.lit(2)) == 1, F.lit(False))
+    return docs.filter(late), docs.filter(~late)
+
+
+# Stored sketches of two loads by language and source, merged to languages: near the exact number, and the same as built at once.
+@query(
+    "X7",
+    f"""
+WITH {DOCS} SELECT lang, count(*) AS n_rows, count(DISTINCT oid) AS n_oids, true AS is_near, true AS as_at_once FROM docs GROUP BY lang""",
+)
+def merged_distinct(t):
+    loads = [store(sk.distinct_sketches(load, ["lang", "source"], "oid"), "sketches") for load in _loads(t)]
+    merged = sk.distinct_of(sk.merge_distinct(loads[0].unionByName(loads[1]), ["lang"]))
+    docs = documents_manifest(t.documents).select("lang", "oid")
+    at_once = sk.distinct_of(sk.distinct_sketches(docs, ["lang"], "oid")).select("lang", F.col("n_distinct").alias("direct"))
+    exact = docs.distinct().groupBy("lang").agg(F.count("oid").alias("n_oids"))
+    found = join_summary(join_summary(merged, at_once, ["lang"]), exact, ["lang"])
+    error = 3 * 1.04 / 64  # three standard errors
+    return found.select(
+        "lang", "n_rows", "n_oids", (F.abs(F.col("n_distinct") - F.col("n_oids")) <= error * F.col("n_oids") + 1).alias("is_near"),
+        (F.abs(F.col("n_distinct") - F.col("direct")) <= error * F.col("n_oids") + 1).alias("as_at_once"),
+    )
+
+
+# Quantile sketches of lines by flag and status, merged to flags: whether ranks are within 1 %.
+@query(
+    "X8",
+    """
+SELECT l_returnflag, count(*) AS n, true AS p50_is_near, true AS p99_is_near FROM lineitem GROUP BY l_returnflag""",
+)
+def merged_quantiles(t):
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents")
+    lines = t.lineitem.select("l_returnflag", "l_linestatus", cents)
+    fine = store(sk.quantile_sketches(lines, ["l_returnflag", "l_linestatus"], "cents"), "sketches")
+    found = sk.quantiles_of(sk.merge_quantiles(fine, ["l_returnflag"]), {"p50": 0.5, "p99": 0.99})
+    ranked = join_summary(lines, found, ["l_returnflag"])
+
+    def near(name: str, point: float) -> Column:
+        below, upto = F.count_if(F.col("cents") < F.col(name)), F.count_if(F.col("cents") <= F.col(name))
+        n = F.count(F.lit(1))
+        return ((below <= (point + 0.01) * n + 1) & (upto >= (point - 0.01) * n - 1)).alias(f"{name}_is_near")
+
+    return ranked.groupBy("l_returnflag").agg(F.max("n").alias("n"), near("p50", 0.5), near("p99", 0.99))
+
+
+@query(
+    "X9",
+    """
+SELECT user_id, count(*) AS n FROM events GROUP BY user_id HAVING count(*) > 0.005 * (SELECT count(*) FROM events)""",
+)
+def heavy_users(t):
+    return sk.heavy_hitters(t.events, ["user_id"], 0.005)
+
+
+@query(
+    "X9",
+    """
+SELECT e.event_id, e.event_type, k.n_users FROM events e
+JOIN (SELECT event_type, count(DISTINCT user_id) AS n_users FROM events GROUP BY event_type) k ON e.event_type = k.event_type""",
+)
+def salted_types(t):
+    """Every event type is heavy."""
+    users = t.events.groupBy("event_type").agg(F.count_distinct("user_id").alias("n_users"))
+    return sk.salted_join(t.events.select("event_id", "event_type"), users, ["event_type"], share=0.05, salts=8)
+
+
+@query(
+    "X10",
+    f"""
+WITH {DOCS}, grouped AS (
+  SELECT grouping(lang) AS no_lang, grouping(source) AS no_source, lang, source, count(*) AS n_rows, CAST(sum(size) AS BIGINT) AS size
+  FROM docs GROUP BY GROUPING SETS ((lang, source), (source), (lang), ()))
+SELECT CAST(CASE WHEN no_lang = 0 AND no_source = 0 THEN 0 WHEN no_source = 0 THEN 1 WHEN no_lang = 0 THEN 2 ELSE 3 END AS INTEGER) AS set_no,
+       lang, source, n_rows, size FROM grouped""",
+)
+def docs_cube(t):
+    docs = documents_manifest(t.documents).select("lang", "source", "size")
+    found = sk.grouping_sets(docs, [["lang", "source"], ["source"], ["lang"], []], ["size"])
+    return found.select("set_no", "lang", "source", "n_rows", "size")
+
+
+# Documents bucketed by content: copies, first copies and payload checks without another shuffle.
+@query(
+    "X11",
+    f"""
+WITH {DOCS}, copies AS (SELECT oid, count(*) AS n, min(path) AS first_path FROM docs GROUP BY oid HAVING count(*) > 1)
+SELECT d.oid, d.path, c.n FROM docs d JOIN copies c ON c.oid = d.oid""",
+)
+def bucketed_copies(t):
+    docs = documents_manifest(t.documents).select("oid", "path", "size")
+    where = scratch_path(t.spark, "bucketed")
+    table = write_bucketed(docs, f"bucketed_{where[-32:]}", where, buckets=8)
+    groups = duplicate_groups(table).select("oid", "n")
+    return table.select("oid", "path").join(groups.hint("merge"), "oid")
+
+
+@query(
+    "X12",
+    """
+SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS attribute_problem FROM events""",
+)
+def event_attributes(t):
+    found = read_attributes(t.events.select("event_id", "props"), "props", {"k": ("$.k", "bigint")})
+    return found.select("event_id", "k", "attribute_problem")

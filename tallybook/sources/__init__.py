@@ -1,4 +1,4 @@
-from tallybook.sources.manifests import MANIFEST_SCHEMA, read_manifest, write_manifest
+from tallybook.sources.manifests import MANIFEST_SCHEMA, read_manifest, write_bucketed, write_manifest
 from tallybook.sources.payloads import scan_payloads
 from tallybook.sources.pointers import POINTER_MAX_BYTES, POINTER_VERSION, misfit_files, read_pointer, scan_pointers
 from tallybook.sources.tables import documents_manifest, pages_addresses, read_table
@@ -15,5 +15,6 @@ __all__ = [
     "read_table",
     "scan_payloads",
     "scan_pointers",
+    "write_bucketed",
     "write_manifest",
 ]

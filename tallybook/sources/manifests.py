@@ -47,3 +47,14 @@ def write_manifest(
 def read_manifest(spark: SparkSession, where: str, schema: T.StructType = MANIFEST_SCHEMA) -> DataFrame:
     """A written manifest; a filter on the partition column prunes folders."""
     return spark.read.schema(schema).parquet(where).select(*schema.fieldNames())
+
+
+def write_bucketed(df: DataFrame, table: str, where: str, buckets: int, by: Sequence[str] = ("oid",)) -> DataFrame:
+    """Writes ``df`` as the catalog table ``table`` at ``where``, bucketed and sorted by ``by``, and returns it.
+
+    Grouping, deduplication and joins by ``by`` (of tables with as many buckets) need no shuffle any more: rows are dealt once, when
+    written. One task writes each bucket, so choose as many as shuffle partitions; a bucket holds all rows of a hot key.
+    """
+    keys = [F.col(k) for k in by]
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *by).sortBy(*by).option("path", where).saveAsTable(table)
+    return df.sparkSession.table(table)

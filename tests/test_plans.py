@@ -26,7 +26,7 @@ def test_no_cross_join_no_python_in_plans(spark, name):
         assert bad not in text
 
 
-EXTENSIONS = {f"X{i}" for i in range(2, 7)}
+EXTENSIONS = {f"X{i}" for i in range(2, 13)}
 
 
 def test_every_operator_has_a_query():
