@@ -53,8 +53,9 @@ def _buckets(rows: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     Each text has one row at 0.
     """
     parts = rows.select(*keys, F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), r"[\x20\x09-\x0D]+").alias("parts"))
-    counted = F.size(F.array_remove("parts", "")).cast("bigint").alias("n_tokens")
-    tokens = parts.select(*keys, counted, F.posexplode(F.array_distinct("parts")).alias("at", "token"))
+    # Counted below the explode: beside it, the count would be made anew for each token.
+    counted = parts.withColumn("n_tokens", F.size(F.array_remove("parts", "")).cast("bigint"))
+    tokens = counted.select(*keys, "n_tokens", F.posexplode(F.array_distinct("parts")).alias("at", "token"))
     bucket = F.when(F.col("token") == "", -1).otherwise(F.pmod(F.xxhash64("token"), F.lit(BUCKETS)))
     return tokens.select(*keys, "n_tokens", "at", bucket.cast("int").alias("bucket"))
 
