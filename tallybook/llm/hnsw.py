@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tallybook.functions.storage import store
 
 SHARD_ROWS = 8192
-BLOCK_QUERIES = 256
+BLOCK_QUERIES = 8192  # with a shard, one task; a graph is sent once for each block, so about as many queries as a shard has rows
 LINKS = 16  # of a node in an upper layer, and those a new node asks for; twice as many in the lowest
 EF_BUILD = 64
 EF_SEARCH = 192
@@ -159,7 +159,12 @@ INDEX = "shard string, dim int, ids array<array<bigint>>, vectors binary, layers
 
 
 def build_index(rows: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """A row for each shard: its nodes' ids (k + 1 smallest of equal vectors), vectors and flat neighbour arrays."""
+    """A row for each shard: its nodes' ids (k + 1 smallest of equal vectors), vectors and flat neighbour arrays.
+
+    Rows with a null id, or whose vector is null, empty, zero or has a null, infinite or NaN component, are left out. Repeated
+    rows count once. Vectors of different lengths are in different shards. An empty table gives an empty index. Other
+    columns are not looked at.
+    """
     vectors = _vectors(rows, id_col, vector_col).distinct()
     first = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     few = vectors.withColumn("place", first).filter(F.col("place") <= k + 1)
@@ -217,8 +222,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, ef: int = EF_SEARC
         found: list[tuple[int, int, float]] = []
         for row in left.to_pylist():
             graph = _load(row)
-            for query, vector in zip(right.column("query_id").to_pylist(), right.column("vector").to_pylist()):
-                to = np.array(vector)
+            asked = right.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, row["dim"])
+            for query, to in zip(right.column("query_id").to_pylist(), asked):
                 nodes = graph.nearest(to, k + 1, ef)
                 away = graph.vectors[nodes] - to
                 for node, score in zip(nodes, np.sqrt((away * away).sum(axis=1)).tolist()):
