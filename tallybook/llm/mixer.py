@@ -77,6 +77,10 @@ class Events:
         at = node.astype(np.uint64) * _STEP
         return [((c[symbol] + at) * _MIX >> np.uint64(64 - SLOT_BITS)).view(np.int64) for c in self.contexts]
 
+    def followed_by(self, more: Events) -> Events:
+        both = lambda a, b: np.concatenate([a, b], axis=-1)
+        return Events(*(both(getattr(self, f), getattr(more, f)) for f in ("code", "length", "contexts", "kind", "text")))
+
     def taken(self, order: np.ndarray) -> Events:
         return Events(self.code[order], self.length[order], self.contexts[:, order], self.kind[order], self.text[order])
 

@@ -35,7 +35,8 @@ KINDS = 4096  # more than there are classes
 END, UNKNOWN, FIRST = 0, 1, 2  # classes: end of text, unseen word, first of the words
 AGAIN = -1  # class UNKNOWN too, but the word came before in its text and is not spelled
 SPELLED_BY = (1, 2, 3, 5)  # bytes before that predict the next one of an unseen word
-SLAB = 60_000  # tokens scored at once
+SLAB = 60_000  # tokens looked at together; a longer text is taken in parts, which changes nothing in its score
+MOST_COUNTED = 1 << 30  # decisions counted in a task's tables before they are handed on
 PIECE = 1 << 14  # slots of a table that travel together
 FOLDS, HELD_OUT = 7, 2
 
@@ -114,14 +115,21 @@ class Chunk:
         return pa.RecordBatch.from_arrays(columns, names=["chunk", "doc_ids", "held", "bytes", "sizes", "ids", "words", "counts"])
 
 
-def _events(classes: np.ndarray, text: np.ndarray, spelled: list[bytes], code: np.ndarray, length: np.ndarray) -> mixer.Events:
-    """Events of tokens by class; a token of class UNKNOWN, not AGAIN, takes the next of ``spelled``."""
+NO_PAST = np.zeros(3, np.int64)
+
+
+def _events(
+    classes: np.ndarray, text: np.ndarray, spelled: list[bytes], code: np.ndarray, length: np.ndarray, past: np.ndarray = NO_PAST
+) -> mixer.Events:
+    """Events of tokens by class; a token of class UNKNOWN, not AGAIN, takes the next of ``spelled``.
+
+    ``past`` has the three classes before, of the first token's text.
+    """
     n, new = len(classes), np.flatnonzero(classes == UNKNOWN)
     classes = np.where(classes == AGAIN, UNKNOWN, classes)
-    same = np.r_[np.zeros(1, bool), text[1:] == text[:-1]][:n]
-    before = np.where(same, np.r_[0, classes[:-1]][:n], 0)
-    before2 = np.where(same, np.r_[0, before[:-1]][:n], 0)
-    before3 = np.where(same, np.r_[0, before2[:-1]][:n], 0)
+    line = np.r_[np.where(past == AGAIN, UNKNOWN, past), classes]
+    owner = np.r_[np.repeat(text[:1], 3), text]
+    before, before2, before3 = (np.where(owner[3:] == owner[3 - k : n + 3 - k], line[3 - k : n + 3 - k], 0) for k in (1, 2, 3))
     one = np.ones(n, np.int64)
     contexts = np.stack([mixer.mixed_hash(one), mixer.mixed_hash(2 * one, before), mixer.mixed_hash(3 * one, before, before2), mixer.mixed_hash(4 * one, before2, before3)])
     kind = np.zeros(n, np.int64)
@@ -138,6 +146,15 @@ def _events(classes: np.ndarray, text: np.ndarray, spelled: list[bytes], code: n
     return mixer.Events(both(code[classes], own[0]), both(length[classes], eight), both(contexts, own[1]), both(kind, eight // 8), both(text, text[places]))
 
 
+def _past(classes: np.ndarray, text: np.ndarray, at: int) -> np.ndarray:
+    """The three classes before ``at`` in the same text, 0 where there is none."""
+    past = NO_PAST.copy()
+    for k in (1, 2, 3):
+        if at >= k and text[at - k] == text[at]:
+            past[3 - k] = classes[at - k]
+    return past
+
+
 def _spelling(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of the words, each with a space behind it, their contexts, and the words' lengths."""
     raw = np.frombuffer(b" ".join(words) + b" ", np.uint8).astype(np.int64)
@@ -240,7 +257,7 @@ def train(coded: DataFrame, counts: DataFrame, code: np.ndarray, length: np.ndar
     """
 
     def of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = np.zeros((mixer.N, 1 << mixer.SLOT_BITS, 2), np.int32)
+        tables, counted = np.zeros((mixer.N, 1 << mixer.SLOT_BITS, 2), np.int32), 0
         for batch in batches:
             waiting, size = [], 0
             for i in range(batch.num_rows + 1):
@@ -253,8 +270,13 @@ def train(coded: DataFrame, counts: DataFrame, code: np.ndarray, length: np.ndar
                 if waiting and (last or size >= SLAB):
                     lengths = [len(w) for w in waiting]
                     flat, text = np.concatenate(waiting), np.repeat(np.arange(len(waiting)), lengths)
-                    for k in range(0, len(flat), SLAB):  # contexts begin anew in the middle of a longer text
-                        mixer.count(_events(flat[k : k + SLAB], text[k : k + SLAB], [], code, length), tables)
+                    for k in range(0, len(flat), SLAB):
+                        part = slice(k, k + SLAB)
+                        counted += int(length[flat[part]].sum())
+                        if counted > MOST_COUNTED:  # before a slot could overflow
+                            yield from _pieces(tables)
+                            tables[:], counted = 0, 0
+                        mixer.count(_events(flat[part], text[part], [], code, length, _past(flat, text, k)), tables)
                     waiting, size = [], 0
         yield from _pieces(tables)
 
@@ -306,10 +328,15 @@ def score_texts(coded: DataFrame, evidence: np.ndarray, code: np.ndarray, length
                 classes = [np.append(np.frombuffer(batch.column("classes")[r].as_py(), np.int16), END).astype(np.int64) for r in rows.tolist()]
                 words = [w for r in rows.tolist() for w in batch.column("spelled")[r].as_py().split()]
                 flat, text = np.concatenate(classes), np.repeat(np.arange(len(rows)), [len(c) for c in classes])
-                for k in range(0, len(flat), SLAB):
+                waiting = None
+                for k in range(0, len(flat), SLAB):  # more than one only for a text that is alone
                     part = flat[k : k + SLAB]
                     unknown = int((part == UNKNOWN).sum())
-                    state.add(_events(part, text[k : k + SLAB], words[:unknown], code, length), tables)
+                    events = _events(part, text[k : k + SLAB], words[:unknown], code, length, _past(flat, text, k))
+                    events = events if waiting is None else waiting.followed_by(events)
+                    whole = len(events.code) if k + SLAB >= len(flat) else len(events.code) // mixer.BLOCK * mixer.BLOCK
+                    state.add(events.taken(np.arange(whole)), tables)
+                    waiting = events.taken(np.arange(whole, len(events.code)))
                     words = words[unknown:]
                 scores[rows] += state.score
                 i = j

@@ -350,6 +350,21 @@ def test_scores_of_empty_table_and_chunks(spark, monkeypatch):
         assert r.score == pytest.approx(whole[r.doc_id], abs=1e-3)
 
 
+def test_scores_do_not_depend_on_parts(spark, monkeypatch):
+    """A long text, with unseen words, scores alike in whatever parts it and the training texts are taken."""
+    rng = np.random.default_rng(4)
+    vocabulary = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(rng.choice(vocabulary, 700)), "en", "a", 1) for i in range(14)]
+    rows += [(100, " ".join(rng.choice([*vocabulary, *(f"new{i}" for i in range(200))], 9000)), "en", "a", 1)]
+    df, found = spark.createDataFrame(rows, DOCS), []
+    for slab, counted in ((60_000, 1 << 30), (2_500, 1 << 30), (333, 5_000)):
+        monkeypatch.setattr(scoring, "SLAB", slab)
+        monkeypatch.setattr(scoring, "MOST_COUNTED", counted)
+        found.append({r.doc_id: r.score for r in scoring.language_model_scores(df).collect()})
+    for other in found[1:]:
+        assert other == pytest.approx(found[0], abs=1e-6)
+
+
 def test_token_probabilities_add_up():
     """Over all next symbols the paths of binary decisions share exactly 1."""
     from tallybook.llm import mixer
