@@ -2,11 +2,12 @@
 
 The model's tokens are bytes and its n-grams five bytes long, so an n-gram is a whole
 number, nothing is out of vocabulary, and the number of distinct n-grams stays far
-behind the length of the corpus. One pass gives the distinct n-grams of all
-documents with their counts in trusted text. From these, joins between count
+behind the length of the corpus. Documents are written in chunks of a bounded size. One pass gives the distinct n-grams of
+each chunk with their counts in trusted text. From these, joins between count
 tables, sharded by n-gram, give the probability of each n-gram that occurs
-anywhere. A second pass adds them up for each document. The limits are quantiles
-of the perplexity of trusted documents that were held out, for each language.
+anywhere; the same kind of join takes them back to the chunks, where they are added up for each
+document. The texts lie bucketed by chunk and are not shuffled, and no table of n-grams is ever sent whole.
+The limits are quantiles of the perplexity of trusted documents that were held out, for each language.
 """
 
 from __future__ import annotations
@@ -16,19 +17,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybook.functions.joins import join_null_safe
-from tallybook.functions.storage import store
+from tallybook.functions.storage import scratch_path, store
 from tallybook.llm.common import decide, free_name
 
 ORDER = 5
 QUANTILE = 0.99  # of held-out trusted documents of a language, at most this share lies below its limit
 FOLDS = 3  # fold 0 of the trusted documents is held out of the model
 SLAB = 1 << 21  # bytes looked at together
-MERGED = 1 << 21  # distinct n-grams a task holds
-SENT = 1 << 21  # n-grams with their probability sent to each task at once, 12 bytes each
+CHUNK_BYTES = 16 << 20  # texts that share a list of n-grams; a longer text is a chunk of its own
+ROW_BYTES = 64  # that a row counts for besides its text
 
 
 def grams(text: bytes, order: int = ORDER) -> Iterator[np.ndarray]:
@@ -48,33 +52,69 @@ def _merge(kept: tuple[np.ndarray, np.ndarray], slabs: list[np.ndarray], weight:
     return every, np.bincount(place, np.concatenate([kept[1], counts * weight])).astype(np.int64)
 
 
-def count_grams(texts: DataFrame) -> DataFrame:
-    """key, n: distinct n-grams of ``text``, with their count in rows that are ``trusted``."""
+def in_chunks(rows: DataFrame, text: str = "text") -> DataFrame:
+    """The rows with a ``chunk`` number, as a table bucketed by it: each task's rows in their order, up to CHUNK_BYTES a chunk."""
+    names = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, number, size = TaskContext.get().partitionId() << 32, 0, 0
+        for batch in batches:
+            chunk = np.empty(batch.num_rows, np.int64)
+            for i, n_bytes in enumerate(pc.binary_length(batch.column(names.index(text)).cast(pa.binary())).to_pylist()):
+                n_bytes = (n_bytes or 0) + ROW_BYTES
+                if size and size + n_bytes > CHUNK_BYTES:
+                    number, size = number + 1, 0
+                chunk[i], size = first + number, size + n_bytes
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunk)], names=[*names, "chunk"])
+
+    session, where = rows.sparkSession, scratch_path(rows.sparkSession, "chunks")
+    chunked = rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("chunk", T.LongType())]))
+    # Each task writes its own chunks. Read by bucket, all rows of a chunk are in one task, with nothing shuffled. A bucket
+    # may hold many chunks: they are worked on one after the other.
+    buckets, table = int(session.conf.get("spark.sql.shuffle.partitions")), "chunks_" + where[-32:]
+    chunked.write.bucketBy(buckets, "chunk").option("path", where).option("compression", "zstd").saveAsTable(table)
+    return session.table(table)
+
+
+def chunk_grams(texts: DataFrame) -> DataFrame:
+    """chunk, key, n: distinct n-grams of ``text`` in each ``chunk``, with their count in rows that are ``trusted``.
+
+    Rows of a chunk that are not neighbours may give a key several times.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.zeros(0, np.int64)
-        kept, waiting, sizes = (none, none), {0: [], 1: []}, [0, 0]
+        kept, waiting, sizes, at = (none, none), {0: [], 1: []}, [0, 0], None
 
         def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in kept], names=["key", "n"])
+            nonlocal kept
+            for trusted, slabs in waiting.items():
+                if slabs:
+                    kept = _merge(kept, slabs, trusted)
+                waiting[trusted], sizes[trusted] = [], 0
+            found, kept = kept, (none, none)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(len(found[0]), at or 0), *found)], names=["chunk", "key", "n"])
 
         for batch in batches:
-            for text, trusted in zip(batch.column(0).cast(pa.binary()), batch.column(1).to_pylist()):
+            plain = zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), batch.column(2).to_pylist())
+            for chunk, text, trusted in plain:
+                if chunk != at:
+                    yield rows()
+                    at = chunk
                 for keys in grams(text.as_py()):
                     waiting[trusted].append(keys)
                     sizes[trusted] += len(keys)
                     if sizes[trusted] >= SLAB:
                         kept = _merge(kept, waiting[trusted], trusted)
                         waiting[trusted], sizes[trusted] = [], 0
-                        if len(kept[0]) > MERGED:
-                            yield rows()
-                            kept = (none, none)
-        for trusted, slabs in waiting.items():
-            if slabs:
-                kept = _merge(kept, slabs, trusted)
         yield rows()
 
-    return texts.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    return texts.select("chunk", "text", "trusted").mapInArrow(run, "chunk bigint, key bigint, n bigint")
+
+
+def count_grams(texts: DataFrame) -> DataFrame:
+    """key, n: distinct n-grams of ``text``, with their count in rows that are ``trusted``."""
+    return chunk_grams(texts.withColumn("chunk", F.lit(0).cast("bigint"))).groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -118,33 +158,25 @@ def log_probabilities(counted: DataFrame, order: int = ORDER) -> DataFrame:
     return known.select(F.col("tail").alias("key"), F.log10("lower").alias("logp"))
 
 
-def _scored(texts: DataFrame, probabilities: DataFrame) -> DataFrame:
-    """``texts`` with ``logp`` (sum over the n-grams) in place of ``text``, one pass for all slices of the table."""
-    slices = max(1, -(-probabilities.count() // SENT))
-    rows = texts.withColumn("logp", F.lit(0.0))
-    for i in range(slices):
-        part = probabilities.filter(F.pmod(F.xxhash64("key"), F.lit(slices)) == i).orderBy("key").toArrow()
-        table = tuple(part.column(c).combine_chunks().to_numpy() for c in ("key", "logp"))
-        rows = _add_part(rows, texts.sparkSession.sparkContext.broadcast((table[0], table[1].astype(np.float32))))
-    return rows.drop("text")
-
+def add_up(chunks: DataFrame, asked: DataFrame, probabilities: DataFrame) -> DataFrame:
+    """``chunks`` with ``logp``, the sum over the n-grams, in place of ``text`` and ``chunk``.
 
-def _add_part(rows: DataFrame, sent) -> DataFrame:
-    names = rows.columns
+    ``asked`` (chunk, key) is joined with the probabilities by key and goes back to its chunk.
+    """
+    known = asked.select("chunk", "key").join(probabilities, "key").select("chunk", "key", F.col("logp").cast("float").alias("logp"))
+    names = [c for c in chunks.columns if c not in ("text", "chunk")]
+    schema = T.StructType([*[chunks.schema[c] for c in names], T.StructField("logp", T.DoubleType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, logp = sent.value
-        for batch in batches:
-            sums = batch.column(names.index("logp")).to_numpy().copy()
-            for i, text in enumerate(batch.column(names.index("text")).cast(pa.binary())):
-                for asked in grams(text.as_py()):
-                    if len(keys):
-                        place = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-                        sums[i] += np.where(keys[place] == asked, logp[place], 0).sum(dtype=np.float64)
-            columns = [pa.array(sums) if n == "logp" else batch.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        keys, first = np.unique(right.column("key").to_numpy(), return_index=True)
+        logp = right.column("logp").to_numpy()[first]
+        sums = np.zeros(len(left))
+        for i, text in enumerate(left.column("text").combine_chunks().cast(pa.binary())):
+            for found in grams(text.as_py()):
+                sums[i] += logp[np.searchsorted(keys, found)].sum(dtype=np.float64)
+        return pa.table([*[left.column(c) for c in names], pa.array(sums)], names=[*names, "logp"])
 
-    return rows.mapInArrow(run, rows.schema)
+    return chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, schema)
 
 
 @dataclass
@@ -166,8 +198,9 @@ def judge(docs: DataFrame, labels: DataFrame, names: Columns = Columns(), quanti
     null says neither. A document is kept if its perplexity is at most its language's
     limit: the quantile over held-out trusted documents, or over all trusted ones if none
     is held out. A language without trusted documents, null included, has the limit of all languages
-    together; without any trusted document everything is kept that has a text. Null and empty texts
-    are rejected. Repeated rows share their lot and count as often as they come. Other
+    together; without any trusted document everything is kept that has a text. An order of which trusted text has no n-gram
+    occurring once, twice, three or four times takes off 0.5, 1 and 1.5, as its discounts cannot be estimated. Null and empty texts
+    are rejected. A perplexity equal to the limit is kept. Repeated rows share their lot and count as often as they come. Other
     columns are not looked at.
     """
     text = F.coalesce(F.col(names.text).cast("string"), F.lit(""))
@@ -175,11 +208,12 @@ def judge(docs: DataFrame, labels: DataFrame, names: Columns = Columns(), quanti
     good = (F.col("quality") == 1) & (F.col("toxic") == 0)
     trusted = labels.groupBy("doc_id").agg(F.min(F.coalesce(good, F.lit(False))).alias("good")).filter("good AND doc_id IS NOT NULL")
     trusted = trusted.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int").alias("fold"))
-    marked = decide(rows, trusted, ["doc_id"], "left")
-    counted = store(count_grams(marked.select("text", F.coalesce(F.col("fold") > 0, F.lit(False)).cast("int").alias("trusted"))), "counted")
-    table = log_probabilities(counted)
-    n_bytes = F.octet_length("text").cast("bigint")
-    summed = store(_scored(marked.select("doc_id", "lang", "row_hash", "fold", n_bytes.alias("n_bytes"), "text"), table), "scored")
+    marked = decide(rows, trusted, ["doc_id"], "left").withColumn("n_bytes", F.octet_length("text").cast("bigint"))
+    chunks = in_chunks(marked.select("doc_id", "lang", "row_hash", "fold", "n_bytes", "text"))
+    learned = F.coalesce(F.col("fold") > 0, F.lit(False)).cast("int").alias("trusted")
+    asked = store(chunk_grams(chunks.select("chunk", "text", learned)), "asked")
+    counted = store(asked.groupBy("key").agg(F.sum("n").alias("n")), "counted")
+    summed = store(add_up(chunks, asked, log_probabilities(counted)), "scored")
     scored = summed.withColumn("perplexity", F.when(F.col("n_bytes") > 0, F.pow(F.lit(10.0), -F.col("logp") / (F.col("n_bytes") + 1))))
 
     sure = scored.filter("fold IS NOT NULL AND perplexity IS NOT NULL")

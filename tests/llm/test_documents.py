@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tallybook.llm import decontaminate, mixing, quality, scoring, simhash
 from tests.llm.data import DOCS, ROWS, docs, with_clashes
@@ -193,6 +194,46 @@ def test_quality_edge_cases(spark):
     assert quality.keep_good(docs(spark), labels.limit(0)).count() == len(ROWS) - 2
 
 
+def test_quality_against_brute_force(spark, monkeypatch):
+    """Perplexity, limits and verdicts of a whole table, in many chunks."""
+    monkeypatch.setattr(quality, "CHUNK_BYTES", 20_000)
+    monkeypatch.setattr(quality, "SLAB", 3_000)
+    table, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    rows = [(r.doc_id, r.lang, r.text) for r in table.collect()]
+    good = {}
+    for r in labels.collect():
+        good[r.doc_id] = good.get(r.doc_id, True) and r.quality == 1 and r.toxic == 0
+    fold = {i: spark_hash(i) % quality.FOLDS for i, ok in good.items() if ok}
+    asked = {g for _, _, t in rows for g in brute_grams(t or "", quality.ORDER)}
+    logp = brute_kneser_ney([t for i, _, t in rows if fold.get(i, 0) > 0], asked, quality.ORDER)
+    perplexity = {i: 10 ** (-sum(logp[g] for g in brute_grams(t, quality.ORDER)) / (len(t.encode()) + 1)) for i, _, t in rows if t}
+    lang = {i: x for i, x, _ in rows}
+
+    def limit(of):
+        held = sorted(perplexity[i] for i in fold if i in perplexity and lang[i] in of and fold[i] == 0)
+        held = held or sorted(perplexity[i] for i in fold if i in perplexity and lang[i] in of)
+        return held[math.ceil(quality.QUANTILE * len(held)) - 1] if held else None
+
+    everything = limit(set(lang.values()))
+    found = quality.judge(table.repartition(5), labels).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        wanted = limit({r.lang}) or everything
+        assert r.perplexity == pytest.approx(perplexity[r.doc_id], rel=1e-5) and r.limit == pytest.approx(wanted, rel=1e-5)
+        assert r.keep == (r.perplexity <= r.limit)
+    assert 0 < sum(not r.keep for r in found) < len(found) / 2
+
+
+def test_quality_shuffles_no_texts(spark):
+    """Chunks lie in buckets, so only n-grams go to meet them; nothing is broadcast but labels and limits."""
+    chunks = quality.in_chunks(docs(spark).select("doc_id", "text"))
+    asked = quality.chunk_grams(chunks.select("chunk", F.coalesce("text", F.lit("")).alias("text"), F.lit(1).alias("trusted")))
+    table = quality.log_probabilities(asked.groupBy("key").agg(F.sum("n").alias("n")))
+    filled = chunks.withColumn("text", F.coalesce("text", F.lit("")))
+    text = quality.add_up(filled, asked, table)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning(chunk") == 1 and "Bucketed: true" in text, text
+
+
 def test_quality_tells_labels_apart(spark):
     folder = "/root/testdata/sf0.01"
     table, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
@@ -245,9 +286,11 @@ def bucket(word):
     return xxhash.xxh64_intdigest(word.encode(), 42) % mixing.BUCKETS
 
 
-def spark_hash(number, seed):
-    """Spark's xxhash64(number, seed as int): each column's hash is the seed of the next."""
+def spark_hash(number, seed=None):
+    """Spark's xxhash64 of a long, and a small whole number if given: each column's hash is the seed of the next; as F.pmod sees it, signed."""
     first = xxhash.xxh64_intdigest(number.to_bytes(8, "little", signed=True), 42)
+    if seed is None:
+        return first - (1 << 64) if first >> 63 else first
     return xxhash.xxh64_intdigest(seed.to_bytes(4, "little", signed=True), first)
 
 
