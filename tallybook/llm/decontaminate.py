@@ -8,8 +8,9 @@ hit says where the window would have to start, it must fit there between the
 document's first and last word, and is then compared word by word.
 
 The windows are sent to the documents, so no text is shuffled. They are counted
-first and dealt to slices of a bounded size; the documents are probed with one
-slice after the other in one pass over their rows.
+first and dealt to slices of a bounded size. A slice is built, sent, used and taken back before the
+next one is looked at, so neither the driver nor a task ever holds more than one; what each finds is a
+table of hits, and the tables are put together at the end.
 """
 
 from __future__ import annotations
@@ -17,14 +18,17 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions.storage import store
+from tallybook.llm.common import decide, free_name
 
 SHINGLE = 3
 SLICE_WINDOWS = 100_000  # (window, item) rows sent to each task at once, about 100 bytes each
@@ -144,19 +148,59 @@ def _counted(texts: DataFrame, probe: Probe) -> dict[tuple[int, int], int]:
     return {(r.size, r.code): r.n for r in counts.toLocalIterator()}
 
 
-def probes(docs: DataFrame, text_col: str, items: DataFrame, item_col: str, item_text: str, size: int) -> list[Probe]:
-    """One probe for each slice of the items' windows."""
+def probes(docs: DataFrame, text_col: str, items: DataFrame, item_col: str, item_text: str, size: int) -> Iterator[tuple[Probe, bool]]:
+    """A probe for each slice of the items' windows, one at a time, and whether it is the only one; an empty one without windows."""
     windows = store(windows_of(items, item_col, item_text, size), "windows")
-    slices = -(-windows.count() // SLICE_WINDOWS)
-    texts, found = docs.select(F.col(text_col).cast("string").alias("text")), []
+    slices = max(1, -(-windows.count() // SLICE_WINDOWS))
+    texts = docs.select(F.col(text_col).cast("string").alias("text"))
     for i in range(slices):
         part = windows.filter(F.pmod(F.xxhash64("item", "win"), F.lit(slices)) == i)
-        probe = Probe([(r.item, r.win) for r in part.toLocalIterator()])
+        probe = Probe([(r.item, r.win) for r in part.toLocalIterator()])  # SLICE_WINDOWS rows, more or less
         if probe.windows:
             probe.all_shingles()
             probe.take_rarest(_counted(texts, probe))
-            found.append(probe)
-    return found
+        yield probe, slices == 1
+
+
+SPANS = "array<struct<begin bigint, end bigint>>"
+FOUND = f"doc_id bigint, hash bigint, n_words bigint, items array<string>, spans {SPANS}"
+
+
+def _find(rows: DataFrame, sent: Broadcast, hits_only: bool) -> DataFrame:
+    """FOUND of each row (doc_id, hash, text), or of those with a hit."""
+    out = pa.schema([
+        ("doc_id", pa.int64()), ("hash", pa.int64()), ("n_words", pa.int64()), ("items", pa.list_(pa.string())),
+        ("spans", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
+    ])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: dict[str, list] = {f.name: [] for f in out}
+            for key, mark, text in zip(*[batch.column(i).to_pylist() for i in (0, 1)], batch.column(2).cast(pa.binary())):
+                words = bench_words(text.as_py())
+                spans, items = sent.value.find(words)
+                if spans or not hits_only:
+                    values = (key, mark, len(words), sorted(items), [{"begin": b, "end": e} for b, e in merged(spans)])
+                    for name, value in zip(found, values):
+                        found[name].append(value)
+            yield pa.RecordBatch.from_pydict(found, schema=out)
+
+    return rows.select("doc_id", "hash", "text").mapInArrow(run, FOUND)
+
+
+def _together(rows: DataFrame) -> DataFrame:
+    """doc_id, n_words, items, spans from FOUND and the further ``more_items`` and ``more_spans`` (null: none) of other slices."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items, spans, more_items, more_spans = (batch.column(c).to_pylist() for c in ("items", "spans", "more_items", "more_spans"))
+            all_items = [sorted({*a, *(x for part in b or () for x in part)}) for a, b in zip(items, more_items)]
+            all_spans = [merged({(x["begin"], x["end"]) for part in [a, *(b or ())] for x in part}) for a, b in zip(spans, more_spans)]
+            as_pairs = pa.array([[{"begin": b, "end": e} for b, e in x] for x in all_spans], batch.column("spans").type)
+            columns = [batch.column("doc_id"), batch.column("n_words"), pa.array(all_items, pa.list_(pa.string())), as_pairs]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "items", "spans"])
+
+    return rows.mapInArrow(run, f"doc_id bigint, n_words bigint, items array<string>, spans {SPANS}")
 
 
 def contamination(
@@ -171,31 +215,22 @@ def contamination(
     words are all named. A null item id marks words but is not named. Repeated
     rows give repeated results. No items: nothing is hit. Other columns are not looked at.
     """
-    found = probes(docs, text_col, items, item_col, item_text, size)
-    sent = docs.sparkSession.sparkContext.broadcast(found)
-    out = pa.schema([
-        ("doc_id", pa.int64()), ("n_words", pa.int64()), ("items", pa.list_(pa.string())),
-        ("spans", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
-    ])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: dict[str, list] = {f.name: [] for f in out}
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
-                words = bench_words(text.as_py())
-                spans, items = set(), set()
-                for probe in sent.value:
-                    more = probe.find(words)
-                    spans |= more[0]
-                    items |= more[1]
-                rows["doc_id"].append(key)
-                rows["n_words"].append(len(words))
-                rows["items"].append(sorted(items))
-                rows["spans"].append([{"begin": b, "end": e} for b, e in merged(spans)])
-            yield pa.RecordBatch.from_pydict(rows, schema=out)
-
-    plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return plain.mapInArrow(run, "doc_id bigint, n_words bigint, items array<string>, spans array<struct<begin bigint, end bigint>>")
+    send = docs.sparkSession.sparkContext.broadcast
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("hash"), F.col(text_col).cast("string").alias("text"))
+    every, hits = None, []
+    for probe, alone in probes(docs, text_col, items, item_col, item_text, size):
+        sent = send(probe)
+        if alone:
+            return _find(rows, sent, False).drop("hash")
+        if every is None:
+            every = store(_find(rows, sent, False), "found")
+        else:
+            hits.append(store(_find(rows, sent, True), "hits"))
+        sent.destroy()
+    # Repeated rows have found the same, which a set holds once.
+    more = reduce(DataFrame.unionByName, hits).groupBy("doc_id", "hash")
+    more = more.agg(F.collect_set("items").alias("more_items"), F.collect_set("spans").alias("more_spans"))
+    return _together(decide(every, more, ["doc_id", "hash"], "left"))
 
 
 def merged(spans: set[tuple[int, int]]) -> list[list[int]]:
@@ -218,18 +253,27 @@ def remove_contaminated(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, whose text holds no window of an item.
 
-    A null or empty text is clean. Rows are judged one by one, so repeated rows share their lot.
+    A null or empty text is clean. Rows are judged by their text, so repeated rows share their lot. Without items all
+    rows stay. All columns are kept, whatever their names.
     """
-    found = probes(docs, text_col, items, item_col, item_text, size)
-    sent = docs.sparkSession.sparkContext.broadcast(found)
-    at = docs.columns.index(text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            clean = []
-            for text in batch.column(at).cast(pa.binary()):
-                words = bench_words(text.as_py())
-                clean.append(not any(probe.find(words)[0] for probe in sent.value))
-            yield batch.filter(pa.array(clean, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    send = docs.sparkSession.sparkContext.broadcast
+    at, hits = docs.columns.index(text_col), []
+    rows = docs.select(F.lit(None).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).cast("string").alias("text"))
+
+    def clean(sent: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = batch.column(at).cast(pa.binary())
+                yield batch.filter(pa.array([not sent.value.find(bench_words(t.as_py()))[0] for t in texts], pa.bool_()))
+
+        return docs.mapInArrow(run, docs.schema)
+
+    for probe, alone in probes(docs, text_col, items, item_col, item_text, size):
+        sent = send(probe)
+        if alone:
+            return clean(sent)
+        hits.append(store(_find(rows, sent, True).select("hash"), "hits"))
+        sent.destroy()
+    key = free_name(docs, "text_hash")
+    out = reduce(DataFrame.unionByName, hits).select(F.col("hash").alias(key)).distinct()
+    return decide(docs.withColumn(key, F.xxhash64(text_col)), out, [key], "left_anti").drop(key)

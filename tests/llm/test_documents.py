@@ -127,6 +127,10 @@ def test_windows_in_slices(spark, monkeypatch):
     whole = sorted(map(str, decontaminate.contamination(table, bench).collect()))
     monkeypatch.setattr(decontaminate, "SLICE_WINDOWS", 500)
     assert sorted(map(str, decontaminate.contamination(table, bench).collect())) == whole
+    both = with_clashes(docs(spark)).unionByName(table.withColumns({c: F.lit("y") for c in set(with_clashes(docs(spark)).columns) - set(table.columns)}))
+    left = sorted(r.doc_id or 0 for r in decontaminate.remove_contaminated(both, bench).collect())
+    monkeypatch.setattr(decontaminate, "SLICE_WINDOWS", 10**6)
+    assert left == sorted(r.doc_id or 0 for r in decontaminate.remove_contaminated(both, bench).collect()) and 0 < len(left) < both.count()
 
 
 def brute_kneser_ney(trusted, asked, order):
