@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.hashing import hash_bucket, split_by_bucket
@@ -72,13 +72,12 @@ def _small_star(edges: DataFrame, join: Callable[..., DataFrame]) -> DataFrame:
     return below.unionByName(joined.select("a", F.col("_least").alias("b"))).distinct()
 
 
-def _all_stars(edges: DataFrame) -> bool:
-    """Whether each node hangs on one node at most, and on one that hangs on none."""
-    ends = edges.select(F.col("a").alias("_node"), F.lit(1).alias("_up"), F.lit(0).alias("_down")).unionByName(
-        edges.select(F.col("b").alias("_node"), F.lit(0).alias("_up"), F.lit(1).alias("_down"))
-    )
-    nodes = ends.groupBy("_node").agg(F.sum("_up").alias("_ups"), F.max("_down").alias("_down"))
-    return nodes.filter("_ups > 1 or (_ups = 1 and _down = 1)").isEmpty()
+def _kept(edges: DataFrame) -> tuple[DataFrame, tuple[int, object]]:
+    """The edges as a table, with their number and checksum, which the write itself tells."""
+    seen = Observation()
+    checksum = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("checksum")
+    table = store(edges.observe(seen, F.count(F.lit(1)).alias("n"), checksum), "edges")
+    return table, (seen.get["n"], seen.get["checksum"])
 
 
 def linked_groups(df: DataFrame, member: str, via: str) -> DataFrame:
@@ -87,16 +86,20 @@ def linked_groups(df: DataFrame, member: str, via: str) -> DataFrame:
     Connected components by alternating large-star and small-star steps
     (Kiveris et al., "Connected Components in MapReduce and Beyond", 2014): a
     logarithmic number of rounds, where passing on the least label would take as
-    many as the longest chain. Edges are written to a table after each step; few
-    edges, by count, take both steps at once with plain joins. The steps go on
-    until every node hangs on the top of its component.
+    many as the longest chain. A round is one job that writes the edges and sees whether they
+    changed; few edges, by count, take both steps at once with plain joins, many are written between the steps. The
+    rounds end when a round changes nothing.
     """
-    edges = store(_links(df, member, via))
-    while not _all_stars(edges):
-        if edges.count() <= joins.BROADCAST_ROWS:
-            edges = store(_small_star(_large_star(edges, join_null_safe), join_null_safe))
+    edges, mark = _kept(_links(df, member, via))
+    while mark[0]:
+        if mark[0] <= joins.BROADCAST_ROWS:
+            moved = _small_star(_large_star(edges, join_null_safe), join_null_safe)
         else:
-            edges = store(_small_star(store(_large_star(edges, join_summary)), join_summary))
+            moved = _small_star(store(_large_star(edges, join_summary)), join_summary)
+        edges, now = _kept(moved)
+        if now == mark:
+            break
+        mark = now
     members = df.select(F.col(member).alias("a")).dropna().distinct()
     return members.join(edges, "a", "left").select(
         F.col("a").alias(member), F.coalesce("b", "a").alias("component")
