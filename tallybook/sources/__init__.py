@@ -2,6 +2,7 @@ from tallybook.sources.manifests import MANIFEST_SCHEMA, read_manifest, write_bu
 from tallybook.sources.payloads import scan_payloads
 from tallybook.sources.pointers import POINTER_MAX_BYTES, POINTER_VERSION, misfit_files, read_pointer, scan_pointers
 from tallybook.sources.tables import documents_manifest, pages_addresses, read_table
+from tallybook.sources.tree import scan_tree
 
 __all__ = [
     "MANIFEST_SCHEMA",
@@ -15,6 +16,7 @@ __all__ = [
     "read_table",
     "scan_payloads",
     "scan_pointers",
+    "scan_tree",
     "write_bucketed",
     "write_manifest",
 ]

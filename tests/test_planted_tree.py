@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tallybook import operators as op
 from tallybook.operators.snapshots import manifest_diff, write_snapshot
 from tallybook.plans import build_manifest, leak_free_split
-from tallybook.sources import read_manifest
+from tallybook.sources import read_manifest, scan_pointers
+from tallybook.sources.tree import TreeReader, scan_tree
 
 
 def planted():
@@ -126,3 +127,27 @@ def test_a_move_between_two_snapshots(spark, manifest, tmp_path):
     write_snapshot(moved, str(tmp_path / "b"), like=str(tmp_path / "a"))
     found = manifest_diff(spark, str(tmp_path / "a"), str(tmp_path / "b")).collect()
     assert [(r.change, r.path, r.old_path, r.oid, r.size) for r in found] == [("moved", new, old, *TREE[old])]
+
+
+@pytest.mark.parametrize("depth, shares", [(0, 1), (1, 1), (1, 3), (2, 2), (5, 1)])
+def test_scan_by_tasks(spark, tmp_path, depth, shares):
+    """The driver lists folders only; rows are those of the plain scan, and empty and large files besides."""
+    write(tmp_path, TREE)
+    (tmp_path / "scin" / "empty").write_bytes(b"")
+    (tmp_path / "top").write_bytes(b"x" * 5000)
+    (tmp_path / "odd name é%20").write_bytes(b"\xff\xfe")
+    found = scan_tree(spark, str(tmp_path), depth, shares)
+    rows = {r.path: r for r in found.collect()}
+    assert found.count() == len(rows) == len(TREE) + 3
+    plain = {r.path: (r.version, r.oid, r.size, r.well_formed) for r in scan_pointers(spark, str(tmp_path)).collect()}
+    assert {p: (r.version, r.oid, r.size, r.well_formed) for p, r in rows.items() if p in TREE} == {p: plain[p] for p in TREE}
+    assert [(rows[p].well_formed, rows[p].file_size) for p in ("scin/empty", "top", "odd name é%20")] == [(False, 0), (False, 5000), (False, 2)]
+
+
+def test_the_driver_lists_folders_not_files(tmp_path):
+    write(tmp_path, TREE)
+    parts = TreeReader({"path": str(tmp_path), "depth": "2"}).partitions()
+    assert sorted({p.folder[len(str(tmp_path)) :] for p in parts if p.deep}) == sorted(
+        {"/" + "/".join(p.split("/")[:2]) for p in TREE if p.count("/") >= 2}
+    )
+    assert sum(p.deep for p in parts) < len(TREE) / 4

@@ -177,3 +177,21 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert read_manifest(spark, f"{out}/manifest").count() == 6
     bad = {r.path: r.reason for r in spark.read.parquet(f"{out}/quarantine").collect()}
     assert bad == {"oral_images/malignant_lesions/2.jpg": "bad oid", "oral_images/malignant_lesions/3.jpg": "not a pointer"}
+
+
+def test_build_listed_by_tasks_is_the_same(spark, tmp_path):
+    root = tmp_path / "raw"
+    for path, (content, _) in FAULTS.items():
+        put(root, path, content)
+    put(root, "oral_images/benign_lesions/99.jpg", b"x" * 5000)
+    inventory = spark.createDataFrame([(p,) for p in [*FAULTS, "scin/-12/image_2.png"]], "path string")
+    for out, how in (("a", {}), ("b", {"depth": 2}), ("c", {"depth": 0})):
+        build_manifest(spark, str(root), str(tmp_path / out), inventory=inventory, **how)
+
+    def rows(out):
+        manifest = sorted(map(str, read_manifest(spark, str(tmp_path / out / "manifest")).collect()))
+        return manifest, sorted(map(tuple, spark.read.parquet(str(tmp_path / out / "quarantine")).select("path", "reason").collect()))
+
+    assert rows("a") == rows("b") == rows("c")
+    with pytest.raises(ValueError):
+        build_manifest(spark, str(root), str(tmp_path / "d"), subdirs=["scin"], depth=1)
