@@ -132,7 +132,11 @@ def _block_masks(n: int, distance: int) -> list[int]:
 
 
 def near_links(prints: DataFrame, distance: int = 3) -> DataFrame:
-    """a, b: links that connect all distinct fingerprints ``fp`` joined by steps of at most ``distance`` bits."""
+    """a, b: links that connect all distinct fingerprints ``fp`` joined by steps of at most ``distance`` bits.
+
+    ``prints`` holds each fingerprint once and no null. An empty table, or one fingerprint, has no links. Of equally good links any one
+    stands. Other columns are not looked at.
+    """
     if not 0 <= distance < 32:
         raise ValueError("the distance must be from 0 to 31 bits")
     n = prints.count()
