@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.joins import join_null_safe, join_summary
@@ -52,8 +52,9 @@ def cross_partition_duplicates(df: DataFrame, partition: str, oid: str = "oid")
     by oid, and nothing is listed in one row: an oid in every partition is as many rows.
     """
     held = df.filter(F.col(partition).isNotNull()).select(oid, partition).distinct()
-    several = held.groupBy(oid).agg(F.count(F.lit(1)).alias("n_partitions")).filter("n_partitions > 1")
-    return join_summary(held, several, [oid])
+    # After the distinct an oid has a row for each partition at most, whatever the number of its copies.
+    n_partitions = F.count(F.lit(1)).over(Window.partitionBy(oid))
+    return held.withColumn("n_partitions", n_partitions).filter(F.col("n_partitions") > 1)
 
 
 def identity_conflicts(df: DataFrame, attribute: str, oid: str = "oid") -> DataFrame:
