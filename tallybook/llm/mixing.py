@@ -30,6 +30,7 @@ SHRUNK = 50.0  # a token's squared surprise, over the domains, at which it has a
 TEMPERATURES = tuple(2.0**k for k in range(-2, 8))
 CLOSE = 1e-7  # of all tokens; steps end when every domain is this near its target
 CHANGE = 1e-9  # what the squares of changed rates count against those of missed targets
+SPREAD = 1.0  # mean squared change of rates, by tokens, at most: as much as halves the effective number of tokens
 SHORTER = tuple(0.5**k for k in range(1, 25))  # lengths tried where a step of length 1 goes too far
 
 # Domains by the labels table: what quality and toxic say.
@@ -151,8 +152,9 @@ def rates(
 
     ``labels`` (doc_id, domain) teaches the domains named by ``targets``, whose values are shares of all tokens of ``docs`` and must add
     up to 1. Rates start at 1 and are as near to the targets as nonnegative rates come; ``residual``, one
-    value for all rows, is the largest distance left, as a share of all tokens (near 0 unless targets are out of reach:
-    a domain that no document can be of, or posteriors that are all the same).
+    value for all rows, is the largest distance left, as a share of all tokens. It is near 0 unless targets are out of reach:
+    a domain that no document can be of, posteriors that are all the same, or targets that only a few
+    documents, drawn over and over, could meet. ``SPREAD`` bounds the mean squared change of the rates, so that these do not replace all others.
     ``hash`` tells texts of one id apart; ``copies`` counts equal rows, which
     share one rate. A null or empty text has no tokens and its rate is what the steps make of its prior. Without labels
     all probabilities are the same. An empty table gives an empty result. Other columns are not looked at.
@@ -178,8 +180,9 @@ def _rate(multipliers: Sequence[float]) -> Column:
 def descend(table: DataFrame, shares: Sequence[float]) -> tuple[np.ndarray, float]:
     """Multipliers at which the rates are nearest to the targets, and the largest distance left, as a share of all tokens.
 
-    Minimised is the squared distance of the domains' totals from their targets plus CHANGE times the squared changes of the
-    rates, which makes the answer one. In the multipliers that is a convex function of a few numbers. Its
+    Minimised is the squared distance of the domains' totals from their targets plus ``change`` times the squared changes of the
+    rates. ``change`` is CHANGE, which only makes the answer one, or, if the rates would then change by more than
+    SPREAD, as small as keeps them to it. In the multipliers that is a convex function of a few numbers. Its
     gradient is the missed totals, its curvature the products of probabilities summed over documents with a rate above 0; steps
     are scaled by it, and taken shorter if they go too far. They end at the targets, or where no step goes down any more.
     """
@@ -206,27 +209,42 @@ def descend(table: DataFrame, shares: Sequence[float]) -> tuple[np.ndarray, floa
             matrix[i, j] = matrix[j, i] = x
         return row[0], np.array(row[1 : 1 + n]), matrix
 
-    at = np.zeros(n)
-    squares, totals, matrix = look(at)
-    unit = CHANGE * float(np.trace(matrix)) / n
-    value = lambda squares, x: squares + float(targets @ x) + unit / 2 * float(x @ x)
-    now = value(squares, at)
-    while np.abs(totals - targets).max() > CLOSE:
-        step = np.linalg.solve(matrix + unit * np.eye(n), totals - targets - unit * at)
-        found = look(at + step)
-        if not value(found[0], at + step) < now:
-            tries = [at + step * length for length in SHORTER]
-            row = table.agg(*[half_squares(x).alias(f"x{i}") for i, x in enumerate(tries)]).first()
-            least, i = min((value(q, x), i) for i, (q, x) in enumerate(zip(row, tries)))
-            if not least < now:
-                break
-            step = step * SHORTER[i]
+    def solve(change: float, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Multipliers, totals and mean squared change of the rates."""
+        squares, totals, matrix = look(at)
+        unit = change * first
+        value = lambda squares, x: squares + float(targets @ x) + unit / 2 * float(x @ x)
+        now = value(squares, at)
+        while np.abs(totals - targets - unit * at).max() > CLOSE:
+            step = np.linalg.solve(matrix + unit * np.eye(n), totals - targets - unit * at)
             found = look(at + step)
-        moved = value(found[0], at + step)
-        if not moved < now - 1e-14 * abs(now):
-            break
-        at, now, (_, totals, matrix) = at + step, moved, found
-    return at, float(np.abs(totals - targets).max())
+            if not value(found[0], at + step) < now:
+                tries = [at + step * length for length in SHORTER]
+                row = table.agg(*[half_squares(x).alias(f"x{i}") for i, x in enumerate(tries)]).first()
+                least, i = min((value(q, x), i) for i, (q, x) in enumerate(zip(row, tries)))
+                if not least < now:
+                    break
+                step = step * SHORTER[i]
+                found = look(at + step)
+            moved = value(found[0], at + step)
+            if not moved < now - 1e-14 * abs(now):
+                break
+            at, now, (squares, totals, matrix) = at + step, moved, found
+        return at, totals, 2 * squares - 2 * float(totals.sum()) + 1
+
+    first = float(np.trace(look(np.zeros(n))[2])) / n
+    best = solve(CHANGE, np.zeros(n))
+    if best[2] > SPREAD:
+        low, high = math.log(CHANGE), 0.0
+        best = solve(1.0, np.zeros(n))
+        while high - low > 0.1:
+            middle = (low + high) / 2
+            found = solve(math.exp(middle), best[0])
+            if found[2] > SPREAD:
+                low = middle
+            else:
+                high, best = middle, found
+    return best[0], float(np.abs(best[1] - targets).max())
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
