@@ -343,8 +343,9 @@ def test_mixing_does_not_draw_a_few_over_and_over(spark):
         multipliers, residual = mixing.descend(table, shares)
         rate = np.maximum(0, 1 - np.stack([1 - p, p], 1) @ multipliers)
         assert n @ (rate - 1) ** 2 / n.sum() <= mixing.SPREAD and (rate > 0).mean() > 0.4 and residual > 0.01
-        start = np.abs(np.array([n @ (1 - p), n @ p]) / n.sum() - shares).max()
-        assert residual < start
+        both = np.stack([1 - p, p], 1)
+        off = lambda r: np.linalg.norm((n * r) @ both / n.sum() - shares)
+        assert off(rate) < off(np.ones(500))
 
 
 def test_mixing_with_rates_at_zero(spark, monkeypatch):
