@@ -53,7 +53,11 @@ def missing_ranges(df: DataFrame, group: Sequence[str], ordinal: str, bounds: Da
     followed = followed.withColumn("next", F.coalesce("next", F.lead("at").over(meeting)))
     gaps = followed.select(*keys, (F.col("at") + 1).alias("first"), (F.col("next") - 1).alias("last")).filter("first <= last")
     if bounds is not None:
-        gaps = join_summary(gaps, limits, keys)
+        if keys:
+            gaps = join_summary(gaps, limits, keys)
+        else:
+            only = limits.first()  # without a group there is one row of limits, or none
+            gaps = gaps.withColumns({c: F.lit(only[c] if only else None).cast("bigint") for c in ("lo", "hi")}).filter(F.lit(only is not None))
         gaps = gaps.select(*keys, F.greatest("first", "lo").alias("first"), F.least("last", "hi").alias("last")).filter("first <= last")
     return gaps.select(
         *[F.col(k).alias(c) for c, k in zip(group, keys)], "first", "last", (F.col("last") - F.col("first") + 1).alias("n")
