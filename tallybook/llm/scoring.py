@@ -334,9 +334,10 @@ def score_texts(coded: DataFrame, evidence: np.ndarray, code: np.ndarray, length
                     unknown = int((part == UNKNOWN).sum())
                     events = _events(part, text[k : k + SLAB], words[:unknown], code, length, _past(flat, text, k))
                     events = events if waiting is None else waiting.followed_by(events)
-                    whole = len(events.code) if k + SLAB >= len(flat) else len(events.code) // mixer.BLOCK * mixer.BLOCK
-                    state.add(events.taken(np.arange(whole)), tables)
-                    waiting = events.taken(np.arange(whole, len(events.code)))
+                    if k + SLAB < len(flat):  # whole blocks only; the rest goes with the next part
+                        whole = len(events.code) // mixer.BLOCK * mixer.BLOCK
+                        waiting, events = events.taken(np.arange(whole, len(events.code))), events.taken(np.arange(whole))
+                    state.add(events, tables)
                     words = words[unknown:]
                 scores[rows] += state.score
                 i = j
