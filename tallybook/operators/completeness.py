@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.joins import join_summary
+from tallybook.functions.names import free_names
 from tallybook.functions.storage import store
 
 # Ordinals are worked on in blocks of this many neighbours: a task holds one
@@ -88,33 +89,37 @@ def missing_ordinals(
     return gaps.select(*names, F.col("first").alias(ordinal))
 
 
+def _merged(pieces: DataFrame, within: Sequence[str], start: str, end: str, until: str) -> DataFrame:
+    """Pieces that follow on each other, ``end`` + 1 being the next ``start``, as one: ``within``, ``start`` and its end ``until``.
+
+    Only the first and last piece of a stretch are kept, and the first then takes the end of the row behind it. One
+    sort serves both steps, and no task holds rows for an aggregation.
+    """
+    along = Window.partitionBy(*within).orderBy(start)
+    opens, closes, behind = free_names([*within, start, end, until], "_opens", "_closes", "_behind")
+    marked = pieces.withColumns(
+        {
+            opens: F.coalesce(F.lag(end).over(along) + 1 != F.col(start), F.lit(True)),
+            closes: F.coalesce(F.lead(start).over(along) - 1 != F.col(end), F.lit(True)),
+        }
+    )
+    ends = marked.filter(F.col(opens) | F.col(closes)).withColumn(behind, F.lead(end).over(along))
+    return ends.filter(opens).select(*within, start, F.when(F.col(closes), F.col(end)).otherwise(F.col(behind)).alias(until))
+
+
 def ordinal_islands(df: DataFrame, group: Sequence[str], ordinal: str, block: int = BLOCK) -> DataFrame:
     """Start, end and n of each unbroken stretch of ordinals.
 
     Stretches are found inside blocks; only those that touch the end of a block,
     at most two for each block, are put together across blocks.
     """
-    in_block = Window.partitionBy(*group, "_block")
-    pieces = (
-        _present(df, group, ordinal)
-        .withColumn("_block", _block(ordinal, block))
-        .withColumn("_island", F.col(ordinal) - F.row_number().over(in_block.orderBy(ordinal)))
-        .groupBy(*group, "_block", "_island")
-        .agg(F.min(ordinal).alias("start"), F.max(ordinal).alias("end"))
-    )
-    at_edge = (F.col("start") == F.col("_block")) | (F.col("end") == F.col("_block") + (block - 1))
-    meeting = Window.partitionBy(*group, "_at_edge", "_meet").orderBy("start")
-    goes_on = F.coalesce(F.lag("end").over(meeting) == F.col("start") - 1, F.lit(False))
-    return (
-        pieces.withColumn("_at_edge", at_edge)
-        .withColumn("_meet", F.when(~at_edge, F.col("_block")))
-        .withColumn("_starts", F.when(goes_on, 0).otherwise(1))
-        .withColumn(
-            "_run", F.sum("_starts").over(meeting.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        )
-        .groupBy(*group, "_at_edge", "_meet", "_run")
-        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
-        .select(*group, "start", "end", (F.col("end") - F.col("start") + 1).alias("n"))
+    start, end, until, low, meet = free_names(group, "_start", "_end", "_until", "_block", "_meet")
+    present = _present(df, group, ordinal).select(*group, _block(ordinal, block).alias(low), F.col(ordinal).alias(start))
+    pieces = _merged(present, [*group, low], start, start, end)
+    at_edge = (F.col(start) == F.col(low)) | (F.col(end) == F.col(low) + (block - 1))
+    pieces = pieces.withColumn(meet, F.when(~at_edge, F.col(low)))
+    return _merged(pieces, [*group, meet], start, end, until).select(
+        *group, F.col(start).alias("start"), F.col(until).alias("end"), (F.col(until) - F.col(start) + 1).alias("n")
     )
 
 

@@ -116,6 +116,16 @@ def test_missing_and_islands(spark, block):
     assert not any((g, start - 1) in ends for g, start, _, _ in islands)
 
 
+@pytest.mark.parametrize("block", [1, 4, 1 << 20])
+@pytest.mark.parametrize("ordinal", ["start", "end", "_start"])
+def test_islands_at_the_ends_of_long(spark, block, ordinal):
+    low, high = -(1 << 63), (1 << 63) - 1
+    rows = [("a", low), ("a", low + 1), ("a", high), ("a", high), ("a", high - 1), ("b", low), (None, 0), (None, None)]
+    df = spark.createDataFrame(rows, f"_end string, {ordinal} bigint")
+    found = sorted((tuple(r) for r in op.ordinal_islands(df, ["_end"], ordinal, block=block).collect()), key=str)
+    assert found == sorted([("a", low, low + 1, 2), ("a", high - 1, high, 2), ("b", low, low, 1), (None, 0, 0, 1)], key=str)
+
+
 @pytest.mark.parametrize("block", [3, 1 << 20])
 def test_missing_within_given_bounds(spark, block):
     df = spark.createDataFrame([("a", o) for o in (-9, 2, 3, 7, 30)] + [("out", 100)], "g string, o int")

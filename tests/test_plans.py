@@ -51,6 +51,14 @@ def test_rollup_expands_sums_not_rows(spark):
     assert text.index("Expand") < text.rindex("Exchange hashpartitioning(lang")  # the scan is the last line
 
 
+@pytest.mark.parametrize("group", [[], ["l_partkey"]])
+def test_islands_hold_no_rows_for_an_aggregation(spark, group):
+    """Beside the two halves of the distinct, rows are only sorted: an aggregation of stretches held each row twice more."""
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
+    text = plan(op.ordinal_islands(lines, group, "l_orderkey"))
+    assert text.count("HashAggregate(") == 2 and text.count("Sort [") == 2 and text.count("Exchange hashpartitioning") == 3, text
+
+
 def test_split_by_group_does_not_shuffle(spark):
     assert "Exchange" not in plan(op.group_split(spark.range(10), "id"))
 
